@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,8 +61,6 @@ def char_count(text: Column) -> Column:
 
 def _nfkc_udf():
     # Nested so that workers get the code by value and need not import this package.
-    import pandas as pd
-
     @F.pandas_udf("string")
     def nfkc_batch(values: pd.Series) -> pd.Series:
         return values.str.normalize("NFKC")

@@ -144,12 +144,12 @@ def filter_by_vocabulary(
     return apply_filter(rows, config)
 
 
-def fits_broadcast(table: DataFrame, *text_columns: str) -> bool:
-    """Whether a table of strings is under BROADCAST_BYTES, by a full count of it."""
+def fits_broadcast(table: DataFrame, limit: int, *text_columns: str) -> bool:
+    """Whether a table of strings is at most ``limit`` bytes, by a full count of it."""
     width = F.lit(64)
     for name in text_columns:
         width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    return (table.agg(F.sum(width).alias("size")).first()["size"] or 0) <= BROADCAST_BYTES
+    return (table.agg(F.sum(width).alias("size")).first()["size"] or 0) <= limit
 
 
 def join_overlap(
@@ -157,6 +157,7 @@ def join_overlap(
     vocabulary: DataFrame,
     min_overlap_ratio: float | str,
     on: tuple[str, ...] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows whose tokens the (distinct) vocabulary covers to the given share.
 
@@ -171,7 +172,7 @@ def join_overlap(
     exploded = rows.select(*carried, F.explode(lower_tokens(F.col("text"))).alias("token"))
     known = vocabulary.select(*on, "token", F.lit(1).alias("_hit"))
     match = [*on, "token"]
-    if fits_broadcast(vocabulary, *match):
+    if fits_broadcast(vocabulary, broadcast_bytes, *match):
         hits = exploded.join(F.broadcast(known), match, "left")
     else:
         salted = exploded.withColumn(
@@ -188,7 +189,12 @@ def join_overlap(
     return rows.join(passed, list(key), "left_semi")
 
 
-def filter_by_config_table(rows: DataFrame, configs: DataFrame) -> DataFrame:
+def filter_by_config_table(
+    rows: DataFrame,
+    configs: DataFrame,
+    literal_tokens: int = LITERAL_TOKENS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Left lookup of filters kept as a table.
 
     Columns: ``ord, dataset_key, vocabulary array<string>, min_overlap_ratio,
@@ -210,7 +216,7 @@ def filter_by_config_table(rows: DataFrame, configs: DataFrame) -> DataFrame:
     ).first()
     small = (
         size["configs"] <= 1000
-        and (size["tokens"] or 0) <= LITERAL_TOKENS
+        and (size["tokens"] or 0) <= literal_tokens
         and (size["bytes"] or 0) <= LITERAL_BYTES
     )
     if small:
@@ -222,10 +228,10 @@ def filter_by_config_table(rows: DataFrame, configs: DataFrame) -> DataFrame:
             for r in latest.collect()
         }
         return apply_filters(rows, table)
-    return _join_configs(rows, latest)
+    return _join_configs(rows, latest, broadcast_bytes)
 
 
-def _join_configs(rows: DataFrame, latest: DataFrame) -> DataFrame:
+def _join_configs(rows: DataFrame, latest: DataFrame, broadcast_bytes: int) -> DataFrame:
     settings = latest.select(
         "dataset_key",
         F.struct(
@@ -235,7 +241,7 @@ def _join_configs(rows: DataFrame, latest: DataFrame) -> DataFrame:
             "max_tokens",
         ).alias("_f"),
     )
-    if fits_broadcast(settings, "dataset_key"):
+    if fits_broadcast(settings, broadcast_bytes, "dataset_key"):
         settings = F.broadcast(settings)
     n = token_count(F.col("text"))
     bounded = (
@@ -250,5 +256,6 @@ def _join_configs(rows: DataFrame, latest: DataFrame) -> DataFrame:
     pairs = latest.select("dataset_key", F.explode(F.array_distinct("vocabulary")).alias("token"))
     free = matched.where(F.col("_ratio").isNull())
     tested = matched.where(F.col("_ratio").isNotNull())
-    kept = free.unionByName(join_overlap(tested, pairs, "_ratio", ("dataset_key",)))
+    covered = join_overlap(tested, pairs, "_ratio", ("dataset_key",), broadcast_bytes)
+    kept = free.unionByName(covered)
     return kept.select(*rows.columns)

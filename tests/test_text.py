@@ -1,0 +1,75 @@
+import random
+import sys
+import unicodedata
+
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of
+from utterflow.functions import text
+
+
+def test_blank_set_is_what_python_splits_on():
+    expected = {chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()}
+    assert set(text.BLANKS) == expected and len(text.BLANKS) == len(expected)
+
+
+def test_blank_class_matches_the_same_code_points(spark):
+    codes = spark.range(0, 0x3100).select(
+        "id", F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c")
+    )
+    found = {r.id for r in codes.where(F.col("c").rlike(text.BLANK_CLASS)).collect()}
+    assert found == {c for c in range(0x3100) if chr(c).isspace()}
+
+
+def _random_texts(n):
+    rnd = random.Random(7)
+    alphabet = text.BLANKS + "aAbBéÉßẞΣσİıǅ𝔸中“-'\\,.0\u200b\u0307"
+    return ["".join(rnd.choices(alphabet, k=rnd.randint(0, 25))) for _ in range(n)]
+
+
+def test_strip_tokens_and_lower_follow_python(spark):
+    texts = _random_texts(2000)
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t",
+        text.strip_blanks(F.col("t")).alias("stripped"),
+        text.tokens(F.col("t")).alias("tokens"),
+        text.lower_tokens(F.col("t")).alias("lower"),
+        text.token_count(F.col("t")).alias("n"),
+        text.char_count(F.col("t")).alias("chars"),
+    )
+    for r in frame.collect():
+        assert r.stripped == r.t.strip()
+        assert r.tokens == r.t.split()
+        assert r.lower == [w.lower() for w in r.t.split()]
+        assert r.n == len(r.t.split())
+        assert r.chars == len(r.t)
+
+
+def test_blank_text_becomes_null_and_inner_blanks_stay(spark):
+    values = ["\u00a0Hello\u2003World\u001c", " \t\u3000", "", None]
+    got = (
+        spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string")
+        .orderBy("i")
+        .select(text.blank_to_null(F.col("t")).alias("t"), text.lower_tokens(F.col("t")).alias("w"))
+        .collect()
+    )
+    assert [r.t for r in got] == ["Hello\u2003World", None, None, None]
+    assert [r.w for r in got] == [["hello", "world"], [], [], None]
+
+
+def test_nfkc_and_collapse(spark):
+    texts = _random_texts(500) + ["\ufb01\u00a0 \u2460", "plain ascii", ""]
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select(
+        "t", text.normalize_text(F.col("t")).alias("n")
+    )
+    for r in frame.collect():
+        expected = "" if r.t is None else " ".join(unicodedata.normalize("NFKC", r.t).split())
+        assert r.n == expected
+    fi = frame.where(F.col("t") == "\ufb01\u00a0 \u2460").first()
+    assert fi.n == "fi 1"
+
+
+def test_only_nfkc_leaves_the_jvm(spark):
+    frame = spark.createDataFrame([("a b",)], "t string")
+    assert "Python" not in plan_of(frame.select(text.lower_tokens(F.col("t"))))
+    assert "ArrowEvalPython" in plan_of(frame.select(text.normalize_text(F.col("t"))))

@@ -133,7 +133,7 @@ def canonical_rows(
     wanted = spec.mapped_columns() + ([spec.audio_column] if include_audio else [])
     branches = []
     for split in source.splits if splits is None else dict.fromkeys(splits):
-        rows = read_split(spark, source, split)
+        rows = read_split(spark, source, split, wanted)
         if rows is None:
             continue
         if sample_size is None:

@@ -14,9 +14,13 @@ def _file_path() -> Column:
     return F.col("_metadata.file_path")
 
 
-def _read(spark: SparkSession, paths: list[str], schema=None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*paths)
+def _read(spark: SparkSession, paths: list[str], wanted: list[str]) -> DataFrame:
+    """Spark takes the schema of one file. A wanted column that this file lacks
+    may be in others, so only then are the schemas of all files merged."""
+    rows = spark.read.parquet(*paths)
+    if set(wanted) <= set(rows.columns) or len(rows.inputFiles()) == 1:
+        return rows
+    return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
 def scan_columns(rows: DataFrame, wanted: list[str]) -> DataFrame:
@@ -29,10 +33,16 @@ def scan_columns(rows: DataFrame, wanted: list[str]) -> DataFrame:
     )
 
 
-def read_split(spark: SparkSession, source: Source, split: str) -> DataFrame | None:
+def read_split(
+    spark: SparkSession, source: Source, split: str, wanted: list[str] = ()
+) -> DataFrame | None:
     """All columns of one split as Spark reads them; None for an unknown split."""
     paths = source.split_paths(split)
-    return _read(spark, paths, source.schema) if paths else None
+    if not paths:
+        return None
+    if source.schema is not None:
+        return spark.read.schema(source.schema).parquet(*paths)
+    return _read(spark, paths, wanted)
 
 
 def list_files(rows: DataFrame) -> list[str]:
@@ -77,7 +87,7 @@ def read_rows(
 ) -> DataFrame:
     """Named columns of Parquet paths or globs, optionally only the first rows."""
     unique = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
-    rows = _read(spark, unique)
+    rows = _read(spark, unique, columns)
     found = scan_columns(rows, columns) if limit is None else first_rows(rows, limit, columns)
     return found.drop(PATH, ROW)
 

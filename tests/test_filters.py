@@ -1,0 +1,174 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of
+from utterflow.operators import filters
+from utterflow.operators.canonical import canonical_rows
+from utterflow.operators.filters import OverlapFilter
+from utterflow.schema import PATH, ROW
+
+
+def kept(frame):
+    return sorted(r.record_id for r in frame.collect())
+
+
+def texts(spark, values, key="d"):
+    rows = [(key, str(i), v, "f", i) for i, v in enumerate(values)]
+    return spark.createDataFrame(
+        rows, f"dataset_key string, record_id string, text string, {PATH} string, {ROW} long"
+    )
+
+
+def passes(text, config):
+    """What a row must satisfy, spelled out."""
+    words = [w.lower() for w in (text or "").split()]
+    if not text or len(words) < config.min_tokens:
+        return False
+    if config.max_tokens is not None and len(words) > config.max_tokens:
+        return False
+    known = set(config.vocabulary)
+    return not known or sum(w in known for w in words) / len(words) >= config.min_overlap_ratio
+
+
+def test_overlap_is_inclusive(spark, corpus):
+    rows = canonical_rows(spark, corpus["interviews"], ["train"])
+    words = ("hello", "world")
+    assert kept(filters.apply_filter(rows, OverlapFilter(words, 0.5))) == ["wax1", "wax2"]
+    assert kept(filters.apply_filter(rows, OverlapFilter(words, 0.51))) == ["wax1"]
+
+
+def test_token_bounds(spark):
+    rows = texts(spark, ["a", "a b", "a b c", "a b c d", None, ""])
+    got = filters.apply_filter(rows, OverlapFilter(min_tokens=2, max_tokens=3))
+    assert kept(got) == ["1", "2"]
+
+
+def test_no_filter_keeps_rows_without_text(spark):
+    rows = texts(spark, ["a", None])
+    assert kept(filters.apply_filter(rows, None)) == ["0", "1"]
+    assert kept(filters.apply_filter(rows, OverlapFilter())) == ["0"]
+
+
+def test_vocabulary_entries_are_not_lower_cased(spark):
+    rows = texts(spark, ["Hello hello"])
+    assert kept(filters.apply_filter(rows, OverlapFilter(("Hello",), 0.1))) == []
+    assert kept(filters.apply_filter(rows, OverlapFilter(("hello",), 1.0))) == ["0"]
+
+
+def test_ratio_of_zero_keeps_every_text(spark):
+    rows = texts(spark, ["x y", None])
+    assert kept(filters.apply_filter(rows, OverlapFilter(("z",), 0.0))) == ["0"]
+
+
+ODD = ["it's", "a\\b", '"q"', "${x}", "`t`", "é", "𝔸", "%_", "日本", "a,b", "{columns}", "\\u0041",
+       "$env:HOME"]
+
+
+def test_odd_tokens_survive_the_plan(spark):
+    rows = texts(spark, [*ODD, "A", "other"])
+    got = filters.apply_filter(rows, OverlapFilter(tuple(w.lower() for w in ODD), 1.0))
+    assert kept(got) == sorted(str(i) for i in range(len(ODD)))
+
+
+def _random_case(seed):
+    rnd = random.Random(seed)
+    words = ["The", "THE", "the"] * 10 + [f"w{i}" for i in range(30)]
+    values = [" ".join(rnd.choices(words, k=rnd.randint(0, 12))) or None for _ in range(200)]
+    values.append(" ".join(["the"] * 20_000 + ["rare"] * 10_000))  # one long, hot text
+    vocabulary = tuple(["the", *rnd.sample([f"w{i}" for i in range(30)], 8)])
+    config = OverlapFilter(vocabulary, rnd.choice([0.25, 0.5, 2 / 3, 0.75, 1.0]), 2, 40_000)
+    return values, config
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_literal_table_and_join_forms_agree_with_brute_force(spark, seed):
+    values, config = _random_case(seed)
+    rows = texts(spark, values)
+    expected = sorted(str(i) for i, v in enumerate(values) if passes(v, config))
+    assert kept(filters.apply_filter(rows, config)) == expected
+    table = spark.createDataFrame([(w,) for w in config.vocabulary], "token string")
+    bounds = (config.min_tokens, config.max_tokens)
+    by_table = filters.filter_by_vocabulary(rows, table, config.min_overlap_ratio, *bounds)
+    assert kept(by_table) == expected
+    bounded = filters.apply_filter(rows, OverlapFilter((), 0.0, *bounds))
+    for limit in (filters.BROADCAST_BYTES, 0):
+        joined = filters.join_overlap(
+            bounded, table, config.min_overlap_ratio, broadcast_bytes=limit
+        )
+        assert kept(joined) == expected
+
+
+def test_large_vocabulary_is_joined(spark, monkeypatch):
+    monkeypatch.setattr(filters, "LITERAL_TOKENS", 3)
+    values, config = _random_case(9)
+    rows = texts(spark, values)
+    repeated = [(w,) for w in config.vocabulary * 2] + [(None,)]
+    table = spark.createDataFrame(repeated, "token string")
+    got = filters.filter_by_vocabulary(rows, table, config.min_overlap_ratio, 2, 40_000)
+    assert kept(got) == sorted(str(i) for i, v in enumerate(values) if passes(v, config))
+    assert "BroadcastHashJoin" in plan_of(got)
+
+
+def test_salted_join_is_neither_broadcast_nor_cross(spark):
+    rows = texts(spark, ["a b"])
+    table = spark.createDataFrame([("a",)], "token string")
+    plan = plan_of(filters.join_overlap(rows, table, 0.5, broadcast_bytes=0))
+    assert "_salt" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_literal_form_needs_no_shuffle(spark):
+    plan = plan_of(filters.apply_filter(texts(spark, ["a"]), OverlapFilter(("a",) * 20, 0.5)))
+    assert "Exchange" not in plan and "Python" not in plan
+    assert plan.count("split(lower(") == 1  # the text is split once
+    many = OverlapFilter(tuple(f"w{i}" for i in range(11)), 0.5)
+    assert "INSET" in plan_of(filters.apply_filter(texts(spark, ["a"]), many))
+
+
+PIPELINE = [
+    {"type": "text_frequency_overlap", "dataset_key": "a", "min_text_tokens": 9},
+    {"type": "other", "dataset_key": "b", "min_text_tokens": 9},
+    {"type": "text_frequency_overlap", "min_text_tokens": 9},
+    {
+        "type": "text_frequency_overlap", "dataset_key": "a", "top_tokens": ["x"],
+        "min_overlap_ratio": 0.5, "min_text_tokens": 2, "max_text_tokens": 3,
+    },
+]
+
+
+def test_pipeline_last_entry_counts_and_other_types_do_not():
+    assert filters.filters_of(PIPELINE) == {"a": OverlapFilter(("x",), 0.5, 2, 3)}
+
+
+def _config_table(spark):
+    rows = [
+        (1, "a", ["never"], 1.0, 1, None),
+        (2, "a", ["x"], 0.5, 2, 3),
+        (1, "b", [], 0.9, 2, None),
+        (1, "c", None, 0.9, 1, 1),
+        (1, "unused", ["q"], 0.5, 1, None),
+    ]
+    return spark.createDataFrame(
+        rows, "ord int, dataset_key string, vocabulary array<string>, min_overlap_ratio double, "
+        "min_tokens int, max_tokens int"
+    )
+
+
+@pytest.mark.parametrize("literal_tokens,broadcast_bytes", [(10_000, 1 << 20), (0, 1 << 20), (0, 0)])
+def test_config_table(spark, literal_tokens, broadcast_bytes):
+    values = ["x", "x y", "x y z", "x x y y", None, "q"]
+    rows = None
+    for key in ("a", "b", "c", "free", None):
+        part = texts(spark, values, key).withColumn(PATH, F.lit(str(key))).withColumn(
+            "record_id", F.concat(F.lit(f"{key}-"), "record_id")
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    got = filters.filter_by_config_table(
+        rows, _config_table(spark), literal_tokens, broadcast_bytes
+    )
+    assert got.columns == rows.columns
+    assert kept(got) == sorted(
+        ["a-1"] + [f"b-{i}" for i in (1, 2, 3)] + ["c-0", "c-5"]
+        + [f"{k}-{i}" for k in ("free", None) for i in range(6)]
+    )

@@ -1,0 +1,145 @@
+import math
+import random
+import statistics
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of, rows_of
+from utterflow.operators import overview, profiles
+from utterflow.operators.canonical import canonical_rows, union_sources
+from utterflow.schema import PATH, ROW
+
+
+@pytest.fixture(scope="module")
+def by_key(spark, corpus):
+    return {k: canonical_rows(spark, s, ["train"], provenance=True) for k, s in corpus.items()}
+
+
+def test_text_length(by_key, spark):
+    assert rows_of(profiles.text_length_profile(by_key["news"])) == [(2, 2, 3, 3, 3.0)]
+    blank = by_key["news"].withColumn("text", F.lit(None).cast("string"))
+    assert rows_of(profiles.text_length_profile(blank)) == [(2, 0, None, None, None)]
+
+
+def test_duration(by_key):
+    assert rows_of(profiles.duration_profile(by_key["news"])) == [(2, 2, 2.5, 5.5, 4.0)]
+    assert rows_of(profiles.duration_profile(by_key["phrases"])) == [(2, 0, None, None, None)]
+
+
+def test_duration_treats_nan_as_a_value_but_overviews_drop_it(spark):
+    frame = spark.createDataFrame(
+        [(1.0,), (math.nan,), (None,), (3.0,)], "duration_seconds double"
+    )
+    rows, n, low, high, mean = rows_of(profiles.duration_profile(frame))[0]
+    assert (rows, n, low) == (4, 3, 1.0) and math.isnan(high) and math.isnan(mean)
+    assert rows_of(overview.duration_summary(frame)) == [(2, 1.0, 2.0, 2.0, 3.0)]
+
+
+def test_gender(by_key):
+    assert dict(rows_of(profiles.gender_distribution(by_key["interviews"]))) == {"f": 1, "m": 1}
+    assert dict(rows_of(profiles.gender_distribution(by_key["news"]))) == {"<missing>": 2}
+
+
+def test_token_frequency_and_ties(by_key):
+    rows = by_key["interviews"]
+    assert rows_of(profiles.token_frequency(rows)) == [("hello", 2), ("akan", 1), ("world", 1)]
+    first = profiles.token_frequency(rows, ties="first_seen")
+    assert rows_of(first) == [("hello", 2), ("world", 1), ("akan", 1)]
+    assert rows_of(profiles.token_frequency(rows, 1)) == [("hello", 2)]
+    with pytest.raises(ValueError):
+        profiles.token_frequency(rows, ties="random")
+
+
+@pytest.mark.parametrize("k", [1, 3, 7, 20, 500])
+def test_first_seen_equals_a_stable_count(spark, k):
+    rnd = random.Random(k)
+    words = [f"W{i}" for i in range(40)]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 6))) for _ in range(60)]
+    rows = [(t or None, f"f{i // 20}", i % 20) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, f"text string, {PATH} string, {ROW} long")
+    counter = Counter(w.lower() for t in texts for w in t.split())
+    assert rows_of(profiles.token_frequency(frame, k, ties="first_seen")) == counter.most_common(k)
+    by_token = sorted(counter.items(), key=lambda p: (-p[1], p[0]))[:k]
+    assert rows_of(profiles.token_frequency(frame, k)) == by_token
+
+
+def test_observed_schema(by_key):
+    found = {r.field: r for r in profiles.observed_schema(by_key["news"]).collect()}
+    assert len(found) == 10 and {r.rows for r in found.values()} == {2}
+    assert found["duration_seconds"].observed_type == "float"
+    assert found["text"].observed_type == "str"
+    assert found["gender"].observed_type is None and found["gender"].non_null_rows == 0
+
+
+def test_profile_by_name(by_key):
+    assert profiles.profile(by_key["news"], "gender").count() == 1
+    with pytest.raises(KeyError):
+        profiles.profile(by_key["news"], "noise")
+
+
+def test_profiles_of_nothing(spark, corpus):
+    none = canonical_rows(spark, corpus["news"], ["absent"])
+    assert rows_of(profiles.text_length_profile(none)) == [(0, 0, None, None, None)]
+    assert rows_of(profiles.token_frequency(none)) == []
+    assert rows_of(profiles.gender_distribution(none)) == []
+    assert rows_of(overview.duration_summary(none)) == [(0, None, None, None, None)]
+    assert rows_of(overview.gender_breakdown(none)) == []
+    row = overview.metadata_overview(none).first()
+    assert row.rows == 0 and math.isnan(row.duration_mean_seconds)
+
+
+def test_profiles_aggregate_before_they_shuffle(by_key):
+    plan = plan_of(profiles.token_frequency(by_key["news"]))
+    assert "TakeOrderedAndProject" in plan and "partial_count" in plan and "Python" not in plan
+    assert "Window" not in plan
+
+
+def test_metadata_overview(spark, corpus):
+    rows = union_sources(spark, list(corpus.values()))
+    for approximate in (False, True):
+        row = overview.metadata_overview(rows, approximate).first()
+        assert row.asDict() == {
+            "rows": 9, "empty_text_rows": 0, "unique_speakers": 5, "known_gender_rows": 5,
+            "duration_rows": 2, "duration_mean_seconds": 4.0,
+        }
+
+
+def test_gender_breakdown(spark, corpus):
+    rows = union_sources(spark, list(corpus.values()))
+    got = rows_of(overview.gender_breakdown(rows))
+    assert got == [("UNKNOWN", 4, 4 / 9), ("f", 3, 3 / 9), ("m", 2, 2 / 9)]
+
+
+def test_summary_coerces_text(spark):
+    frame = spark.createDataFrame([("1",), ("x",), ("2.5",), (None,), ("nan",)],
+                                  "duration_seconds string")
+    assert rows_of(overview.duration_summary(frame)) == [(2, 1.0, 1.75, 1.75, 2.5)]
+
+
+CASES = {
+    "even": [1.0, 2.0, 4.0, 8.0],
+    "odd": [3.0, 1.0, 2.0],
+    "one": [0.1],
+    "negatives": [-5.0, -1.0, -0.0, 0.0, 2.0, -3.5],
+    "outlier": [1e300, 1.0, 1.1, 1.2, 5e-324],
+    "powers": [2.0**i for i in range(-30, 30)] + [2.0**i - 2.0 ** (i - 50) for i in range(-3, 9)],
+    "hot": [1.0] * 500 + [2.0] * 300 + [random.Random(1).random() for _ in range(700)],
+    "straddle": [1.0] * 50 + [9.0] * 50,
+    "dense": [1 + i * 1e-9 for i in range(1000)],
+    "normal": [random.Random(2).gauss(0, 3) for _ in range(1501)],
+    "infinite": [math.inf, 1.0, math.inf, 2.0, math.inf],
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_exact_median(spark, name):
+    frame = spark.createDataFrame([(v,) for v in CASES[name]], "v double")
+    assert overview.exact_median(frame, "v").first().median == statistics.median(CASES[name])
+
+
+def test_median_does_not_gather_values_in_one_task(spark):
+    frame = spark.range(10).select(F.col("id").cast("double").alias("v"))
+    plan = plan_of(overview.exact_median(frame, "v"))
+    assert "percentile" not in plan and "median(" not in plan

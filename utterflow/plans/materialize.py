@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from utterflow.functions.hashing import target_split
+from utterflow.functions.hashing import check_ratio, target_split
 from utterflow.operators.canonical import canonical_rows, union_rows
 from utterflow.operators.filters import (
     OverlapFilter,
@@ -56,8 +56,8 @@ def check_strategy(strategy: Mapping[str, Any]) -> dict[str, Any]:
     """The split strategy of a recipe with its defaults, checked before any job."""
     resolved = {
         "policy": strategy.get("policy", "preserve"),
-        "val_ratio": float(strategy.get("val_ratio", 0.1)),
-        "test_ratio": float(strategy.get("test_ratio", 0.1)),
+        "val_ratio": check_ratio("val_ratio", strategy.get("val_ratio", 0.1)),
+        "test_ratio": check_ratio("test_ratio", strategy.get("test_ratio", 0.1)),
     }
     target_split(**resolved)
     return resolved

@@ -172,3 +172,19 @@ def test_config_table(spark, literal_tokens, broadcast_bytes):
         ["a-1"] + [f"b-{i}" for i in (1, 2, 3)] + ["c-0", "c-5"]
         + [f"{k}-{i}" for k in ("free", None) for i in range(6)]
     )
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_one_file_in_two_datasets(spark, broadcast_bytes):
+    """Equal places of different datasets are different rows."""
+    one = texts(spark, ["x x", "x y", "y y"], "one")
+    two = texts(spark, ["x x", "x y", "y y"], "two")
+    configs = spark.createDataFrame(
+        [(1, "one", ["x"], 0.5, 1, None), (1, "two", ["y"], 1.0, 1, None)],
+        "ord int, dataset_key string, vocabulary array<string>, min_overlap_ratio double, "
+        "min_tokens int, max_tokens int",
+    )
+    got = filters.filter_by_config_table(one.unionByName(two), configs, 0, broadcast_bytes)
+    assert sorted((r.dataset_key, r.text) for r in got.collect()) == [
+        ("one", "x x"), ("one", "x y"), ("two", "y y")
+    ]

@@ -30,7 +30,8 @@ def strip_blanks(text: Column) -> Column:
 
 def blank_to_null(value: Column) -> Column:
     """Any value as trimmed text, null when nothing is left."""
-    return F.nullif(strip_blanks(value.cast("string")), F.lit(""))
+    stripped = strip_blanks(value.cast("string"))
+    return F.when(stripped != "", stripped)
 
 
 def has_text(text: Column) -> Column:

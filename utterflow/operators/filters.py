@@ -9,18 +9,18 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterflow.functions.text import BLANK_CLASS, has_text, lower_tokens, token_count
-from utterflow.plans.storage import durable
+from utterflow.functions.text import BLANK_CLASS, lower_tokens, strip_blanks
+from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import PATH, ROW
 
 FILTER_TYPE = "text_frequency_overlap"  # fixed value: the one filter type recipes know
 
-# Up to here a vocabulary is compiled into the plan as a hash set; the plan is
-# sent with every task, so it must stay small.
-LITERAL_TOKENS, LITERAL_BYTES = 10_000, 256 * 1024
-# Up to here a vocabulary table is broadcast. Beyond, it is joined by shuffle.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# A frequent word may be a third of all tokens: its rows go to this many tasks.
+# Up to here a vocabulary is compiled into the plan as a hash set. The plan goes
+# out with every task; 100,000 literals add seconds to planning and milliseconds
+# to a task, and save shuffling the rows.
+LITERAL_TOKENS, LITERAL_BYTES = 100_000, 2 * 1024 * 1024
+# A frequent word may be in every text: its rows are dealt out to this many join
+# keys. What is still uneven then, adaptive execution splits.
 SALTS = 32
 
 
@@ -49,32 +49,30 @@ def _sql_string(value: str) -> str:
     ) + "'"
 
 
-def within_token_bounds(n: Column, min_tokens: int = 1, max_tokens: int | None = None) -> Column:
-    bounds = n >= min_tokens
-    return bounds if max_tokens is None else bounds & (n <= max_tokens)
-
-
 def keep_condition(config: OverlapFilter | None) -> Column:
     """Whether a row passes. Without a config every row does, text or not."""
     if config is None:
         return F.lit(True)
     text = F.col("text")
-    if not config.vocabulary or config.min_overlap_ratio <= 0:
-        bounds = within_token_bounds(token_count(text), config.min_tokens, config.max_tokens)
-        return has_text(text) & bounds
-    # exists() over a one-element array names the token list, so that a long
-    # text is split once and not once for each mention. SQL text because
-    # building thousands of literals one by one from Python takes seconds.
-    upper = "" if config.max_tokens is None else f"AND size(w) <= {int(config.max_tokens)}"
-    members = ", ".join(_sql_string(t) for t in dict.fromkeys(config.vocabulary))
+    tested = bool(config.vocabulary) and config.min_overlap_ratio > 0
+    if not tested and config.min_tokens <= 1 and config.max_tokens is None:
+        return F.coalesce(strip_blanks(text) != "", F.lit(False))  # no need to split
+    conditions = ["size(w) > 0", f"size(w) >= {int(config.min_tokens)}"]
+    if config.max_tokens is not None:
+        conditions.append(f"size(w) <= {int(config.max_tokens)}")
+    if tested:
+        members = ", ".join(_sql_string(t) for t in dict.fromkeys(config.vocabulary))
+        conditions.append(
+            f"size(filter(w, t -> t IN ({members}))) / size(w) "
+            f">= CAST({float(config.min_overlap_ratio)!r} AS DOUBLE)"
+        )
+    # exists() over a one-element array gives the token list a name, so that a
+    # text is split once and not once per mention. SQL text because building
+    # thousands of literals one by one from Python takes seconds.
     blank_runs = _sql_string(BLANK_CLASS + "+")
-    overlap = F.expr(
-        f"exists(array(array_remove(split(lower(text), {blank_runs}), '')), "
-        f"w -> size(w) >= {int(config.min_tokens)} {upper} AND size(w) > 0 AND "
-        f"size(filter(w, t -> t IN ({members}))) / size(w) "
-        f">= CAST({float(config.min_overlap_ratio)!r} AS DOUBLE))"
-    )
-    return has_text(text) & overlap
+    words = f"array_remove(split(lower(text), {blank_runs}), '')"
+    found = F.expr(f"exists(array({words}), w -> {' AND '.join(conditions)})")
+    return F.coalesce(found, F.lit(False))
 
 
 def apply_filter(rows: DataFrame, config: OverlapFilter | None) -> DataFrame:
@@ -144,14 +142,6 @@ def filter_by_vocabulary(
     return apply_filter(rows, config)
 
 
-def fits_broadcast(table: DataFrame, limit: int, *text_columns: str) -> bool:
-    """Whether a table of strings is at most ``limit`` bytes, by a full count of it."""
-    width = F.lit(64)
-    for name in text_columns:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    return (table.agg(F.sum(width).alias("size")).first()["size"] or 0) <= limit
-
-
 def join_overlap(
     rows: DataFrame,
     vocabulary: DataFrame,
@@ -165,28 +155,30 @@ def join_overlap(
     vocabulary and rows must agree in; ``min_overlap_ratio`` may name a column
     of ``rows``. Only keys and tokens are exploded and joined, never whole rows.
     """
-    key = (PATH, ROW)
+    # One file may serve several datasets or splits, so place alone is no key.
+    key = [c for c in ("dataset_key", "source_split", PATH, ROW) if c in rows.columns]
     per_row = isinstance(min_overlap_ratio, str)
     ratio = F.col(min_overlap_ratio) if per_row else F.lit(float(min_overlap_ratio))
-    carried = [*key, *on, *([min_overlap_ratio] if per_row else [])]
-    exploded = rows.select(*carried, F.explode(lower_tokens(F.col("text"))).alias("token"))
-    known = vocabulary.select(*on, "token", F.lit(1).alias("_hit"))
+    carried = list(dict.fromkeys([*key, *on, *([min_overlap_ratio] if per_row else [])]))
+    words = rows.select(*carried, F.explode(lower_tokens(F.col("text"))).alias("token"))
+    known = vocabulary.select(*on, "token", F.lit(True).alias("_known"))
     match = [*on, "token"]
     if fits_broadcast(vocabulary, broadcast_bytes, *match):
-        hits = exploded.join(F.broadcast(known), match, "left")
+        found = words.withColumn("_n", F.lit(1)).join(F.broadcast(known), match, "left")
     else:
-        salted = exploded.withColumn(
-            "_salt", F.pmod(F.xxhash64(*key, "token"), F.lit(SALTS)).cast("int")
-        )
+        # A word counts once per text from here on, however often it is in it.
+        counted = words.groupBy(*carried, "token").agg(F.count("*").alias("_n"))
+        salt = F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
         copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        hits = salted.join(copies, [*match, "_salt"], "left")
+        found = counted.withColumn("_salt", salt).join(copies, [*match, "_salt"], "left")
+    hits = F.coalesce(F.sum(F.when(F.col("_known"), F.col("_n"))), F.lit(0))
     passed = (
-        hits.groupBy(*[c for c in carried if c not in on])
-        .agg((F.count("_hit") / F.count("*")).alias("_share"))
+        found.groupBy(*carried)
+        .agg((hits / F.sum("_n")).alias("_share"))
         .where(F.col("_share") >= ratio)
         .select(*key)
     )
-    return rows.join(passed, list(key), "left_semi")
+    return rows.join(passed, key, "left_semi")
 
 
 def filter_by_config_table(
@@ -222,7 +214,7 @@ def filter_by_config_table(
     if small:
         table = {
             r["dataset_key"]: OverlapFilter(
-                tuple(r["vocabulary"] or ()), r["min_overlap_ratio"], r["min_tokens"],
+                tuple(t for t in r["vocabulary"] or () if t is not None), r["min_overlap_ratio"], r["min_tokens"],
                 r["max_tokens"],
             )
             for r in latest.collect()
@@ -243,11 +235,11 @@ def _join_configs(rows: DataFrame, latest: DataFrame, broadcast_bytes: int) -> D
     )
     if fits_broadcast(settings, broadcast_bytes, "dataset_key"):
         settings = F.broadcast(settings)
-    n = token_count(F.col("text"))
-    bounded = (
-        has_text(F.col("text"))
-        & (n >= F.col("_f.min_tokens"))
-        & F.coalesce(n <= F.col("_f.max_tokens"), F.lit(True))
+    bounded = F.exists(
+        F.array(lower_tokens(F.col("text"))),
+        lambda w: (F.size(w) > 0)
+        & (F.size(w) >= F.col("_f.min_tokens"))
+        & F.coalesce(F.size(w) <= F.col("_f.max_tokens"), F.lit(True)),
     )
     matched = rows.join(settings, "dataset_key", "left").where(F.col("_f").isNull() | bounded)
     matched = matched.withColumn(

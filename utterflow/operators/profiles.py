@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterflow.functions.text import has_text, lower_tokens, token_count
+from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW
 
 MISSING_GENDER = "<missing>"  # fixed value
@@ -57,13 +58,15 @@ def token_frequency(rows: DataFrame, top_k: int = 20, ties: str = "token") -> Da
         return token_counts(rows).orderBy(F.desc("cnt"), "token").limit(top_k)
     if ties != "first_seen":
         raise ValueError(f"ties must be 'token' or 'first_seen', got {ties!r}")
-    counts = token_counts(rows)
-    # A count that does not reach the k-th place needs no position, nor does one
-    # that no other token shares. Positions are looked up for the rest only.
+    # Only tokens whose count reaches the k-th place matter, and of these only
+    # tokens that share their count with another one need a position.
+    counts = durable(token_counts(rows))
     head = counts.orderBy(F.desc("cnt")).limit(top_k)
     reaching = counts.where(F.col("cnt") >= head.agg(F.min("cnt")).scalar())
-    shared = reaching.groupBy("cnt").agg(F.count("*").alias("n")).where("n > 1").select("cnt")
+    shared = reaching.groupBy("cnt").agg(F.count("*").alias("n")).where("n > 1")
     tied = reaching.join(shared, "cnt", "left_semi").select("token")
+    if fits_broadcast(tied, BROADCAST_BYTES, "token"):
+        tied = F.broadcast(tied)
     placed = rows.select(PATH, ROW, F.posexplode(lower_tokens(F.col("text"))).alias("pos", "token"))
     first = (
         placed.join(tied, "token", "left_semi")

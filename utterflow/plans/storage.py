@@ -7,6 +7,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Up to here a table whose size depends on the data is broadcast. Beyond, it is
+# joined by shuffle.
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 @functools.cache
@@ -33,3 +38,11 @@ def durable(table: DataFrame) -> DataFrame:
     path = new_folder(spark, "table")
     table.write.parquet(path)
     return spark.read.schema(table.schema).parquet(path)
+
+
+def fits_broadcast(table: DataFrame, limit: int, *text_columns: str) -> bool:
+    """Whether a table of strings is at most ``limit`` bytes, by a full count of it."""
+    width = F.lit(64)
+    for name in text_columns:
+        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    return (table.agg(F.sum(width).alias("size")).first()["size"] or 0) <= limit

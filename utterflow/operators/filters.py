@@ -199,7 +199,13 @@ def filter_by_config_table(
     latest = durable(
         configs.groupBy("dataset_key")
         .agg(F.max_by(F.struct(*fields), "ord").alias("f"))
-        .select("dataset_key", "f.*")
+        .select(
+            "dataset_key",
+            "f.vocabulary",
+            F.coalesce("f.min_overlap_ratio", F.lit(0.0)).alias("min_overlap_ratio"),
+            F.coalesce("f.min_tokens", F.lit(1)).alias("min_tokens"),
+            "f.max_tokens",
+        )
     )
     size = latest.agg(
         F.count("*").alias("configs"),
@@ -214,7 +220,9 @@ def filter_by_config_table(
     if small:
         table = {
             r["dataset_key"]: OverlapFilter(
-                tuple(t for t in r["vocabulary"] or () if t is not None), r["min_overlap_ratio"], r["min_tokens"],
+                tuple(t for t in r["vocabulary"] or () if t is not None),
+                r["min_overlap_ratio"],
+                r["min_tokens"],
                 r["max_tokens"],
             )
             for r in latest.collect()

@@ -110,7 +110,7 @@ def select_rows(
 
 
 @contextmanager
-def _without_sort(spark: SparkSession, writers: int = 16):
+def _without_sort(spark: SparkSession, writers: int = 8):
     """Keeps one file per split open in a task, so that rows (and audio) need
     not be sorted by split first. Past that many splits Spark sorts after all."""
     before = spark.conf.get(CONCURRENT_WRITERS)
@@ -175,19 +175,14 @@ def _parquet_or_none(spark: SparkSession, out_dir: str) -> DataFrame | None:
     return read_split_parquet(spark, out_dir, T.StructType(fields))
 
 
-def _arrow_or_none(
-    spark: SparkSession, out_dir: str, with_path: bool = False
-) -> DataFrame | None:
+def _arrow_or_none(spark: SparkSession, out_dir: str) -> DataFrame | None:
     register_arrow_ipc(spark)
-    reader = spark.read.format(ARROW_FORMAT).option("withPath", str(with_path).lower())
     try:
-        found = reader.load(f"{out_dir}/arrow")
-        found.schema
+        return spark.read.format(ARROW_FORMAT).load(f"{out_dir}/arrow")
     except Exception as error:  # the data source reports through a Python worker
         if "no Arrow files under" in str(error):
             return None
         raise
-    return found
 
 
 def reload(spark: SparkSession, out_dir: str, splits: list[str] | None = None) -> DataFrame:
@@ -200,28 +195,26 @@ def reload(spark: SparkSession, out_dir: str, splits: list[str] | None = None) -
     return found if splits is None else found.where(F.col("split").isin(splits))
 
 
-def _per_file(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Split, path, rows and seconds of each written file."""
+def _per_file(spark: SparkSession, out_dir: str, output_format: str) -> DataFrame:
+    """Split, path, rows and seconds of each written file; reads the durations only."""
     parts = []
-    parquet = _parquet_or_none(spark, out_dir)
-    if parquet is not None:
-        parts.append(
-            parquet.select(
-                "split",
-                F.lit("parquet").alias("format"),
-                F.col("_metadata.file_path").alias("file"),
-                "duration_seconds",
+    if output_format in ("parquet", "both"):
+        written = _parquet_or_none(spark, out_dir)
+        if written is not None:
+            file = F.col("_metadata.file_path").alias("file")
+            parts.append(
+                written.select("split", F.lit("parquet").alias("format"), file, "duration_seconds")
             )
+    if output_format in ("arrow", "both"):
+        register_arrow_ipc(spark)
+        written = (
+            spark.read.format(ARROW_FORMAT)
+            .schema("split string, duration_seconds double, _path string")
+            .load(f"{out_dir}/arrow")
         )
-    arrow = _arrow_or_none(spark, out_dir, with_path=True)
-    if arrow is not None:
+        file = F.col("_path").alias("file")
         parts.append(
-            arrow.select(
-                "split",
-                F.lit("arrow").alias("format"),
-                F.col("_path").alias("file"),
-                "duration_seconds",
-            )
+            written.select("split", F.lit("arrow").alias("format"), file, "duration_seconds")
         )
     schema = T.StructType.fromDDL(
         "split string, format string, file string, duration_seconds double"
@@ -234,7 +227,11 @@ def _per_file(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def write_manifest(
-    spark: SparkSession, out_dir: str, recipe: Mapping[str, Any], include_audio: bool
+    spark: SparkSession,
+    out_dir: str,
+    recipe: Mapping[str, Any],
+    include_audio: bool,
+    output_format: str = "parquet",
 ) -> None:
     """Writes the manifest next to the data, from the data as it now lies there.
 
@@ -243,10 +240,11 @@ def write_manifest(
     and one row.
     """
     folder = f"{out_dir}/_manifest"
-    _per_file(spark, out_dir).write.mode("overwrite").parquet(f"{folder}/files")
+    _per_file(spark, out_dir, output_format).write.mode("overwrite").parquet(f"{folder}/files")
     files = spark.read.parquet(f"{folder}/files")
-    written = files.agg(F.max("format")).first()[0]  # parquet sorts after arrow
-    counted = files.where(F.col("format") == written)
+    # Both formats hold the same rows; they count once.
+    counted_format = "arrow" if output_format == "arrow" else "parquet"
+    counted = files.where(F.col("format") == counted_format)
     seconds = F.coalesce(F.sum("duration_seconds"), F.lit(0.0))
     totals = [
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
@@ -302,5 +300,5 @@ def materialize(
         mode=mode,
         rebalance=rebalance,
     )
-    write_manifest(spark, out_dir, recipe, include_audio)
+    write_manifest(spark, out_dir, recipe, include_audio, output_format)
     return read_manifest(spark, out_dir)

@@ -3,7 +3,7 @@
 Spark has no such format built in. Batches arrive as Arrow from the JVM and are
 written as they are, under the same ``split=<value>/`` layout as the Parquet
 sink. Options: ``path``; ``maxRecordsPerFile`` (write); ``partitionBy`` (write,
-default ``split``); ``withPath`` (read: adds the file path as ``_path``).
+default ``split``). A ``_path`` column in the schema of a read is the file path.
 """
 
 from __future__ import annotations
@@ -154,7 +154,8 @@ class ArrowFile(InputPartition):
 
 
 class ArrowIpcReader(DataSourceReader):
-    """One partition per file."""
+    """One partition per file. Only the columns of the schema are read from it:
+    give ``spark.read`` a schema to read fewer than all."""
 
     def __init__(self, options, schema: StructType):
         self.path = options["path"]
@@ -177,8 +178,11 @@ class ArrowIpcReader(DataSourceReader):
                 constants[name] = (
                     None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
                 )
+        wanted = set(self.schema.fieldNames())
         with filesystem.open_input_file(partition.path) as stream:
-            reader = pa.ipc.open_file(stream)
+            names = pa.ipc.open_file(stream).schema.names
+            kept = [i for i, name in enumerate(names) if name in wanted]
+            reader = pa.ipc.open_file(stream, options=pa.ipc.IpcReadOptions(included_fields=kept))
             for i in range(reader.num_record_batches):
                 batch = reader.get_batch(i)
                 columns = [
@@ -210,8 +214,6 @@ class ArrowIpcSource(DataSource):
         for part in inside.split("/")[:-1]:
             if "=" in part:
                 schema = schema.add(part.partition("=")[0], StringType())
-        if self.options.get("withpath", "false").lower() == "true":
-            schema = schema.add("_path", StringType())
         return schema
 
     def reader(self, schema: StructType) -> ArrowIpcReader:

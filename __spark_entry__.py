@@ -151,21 +151,25 @@ def filter_vocab_join_salted(spark: SparkSession, sf: str) -> DataFrame:
 def _config_table(spark: SparkSession, sf: str) -> DataFrame:
     """Two configs for documents, of which the second counts, and one for conversations."""
 
-    def config(order, source, k, ratio, least, most):
+    def frequent(source, k):
         words = profiles.token_frequency(canonical_rows(spark, source), k)
-        return words.agg(F.collect_set("token").alias("vocabulary")).select(
+        return words.agg(F.collect_set("token").alias("vocabulary"))
+
+    def config(order, key, words, ratio, least, most):
+        return words.select(
             F.lit(order).alias("ord"),
-            F.lit(source.spec.key).alias("dataset_key"),
+            F.lit(key).alias("dataset_key"),
             "vocabulary",
             F.lit(ratio).alias("min_overlap_ratio"),
             F.lit(least).alias("min_tokens"),
             F.lit(most).cast("int").alias("max_tokens"),
         )
 
+    superseded = spark.range(1).select(F.array(F.lit("the")).alias("vocabulary"))
     return (
-        config(1, _documents(sf), 10, 0.9, 1, None)
-        .unionByName(config(2, _documents(sf), 200, 0.3, 2, 400))
-        .unionByName(config(3, _conversations(sf), 100, 0.4, 1, None))
+        config(1, "documents", superseded, 0.9, 1, None)
+        .unionByName(config(2, "documents", frequent(_documents(sf), 200), 0.3, 2, 400))
+        .unionByName(config(3, "conversations", frequent(_conversations(sf), 100), 0.4, 1, None))
     )
 
 

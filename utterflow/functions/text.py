@@ -38,12 +38,14 @@ def has_text(text: Column) -> Column:
     return F.coalesce(text != "", F.lit(False))
 
 
-def tokens(text: Column) -> Column:
-    """Blank-separated tokens of ``text``: empty array for blank, null for null.
+def pieces(text: Column) -> Column:
+    """``text`` cut at blank runs, with an empty piece at a blank end or for ''."""
+    return F.split(text, BLANK_CLASS + "+")
 
-    Java's split leaves an empty token before leading and after trailing blanks.
-    """
-    return F.array_remove(F.split(text, BLANK_CLASS + "+"), "")
+
+def tokens(text: Column) -> Column:
+    """Blank-separated tokens of ``text``: empty array for blank, null for null."""
+    return F.array_remove(pieces(text), "")
 
 
 def lower_tokens(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from utterflow.functions.text import BLANK_CLASS, lower_tokens, strip_blanks
+from utterflow.operators.profiles import exploded_tokens
 from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import PATH, ROW
 
@@ -160,7 +161,7 @@ def join_overlap(
     per_row = isinstance(min_overlap_ratio, str)
     ratio = F.col(min_overlap_ratio) if per_row else F.lit(float(min_overlap_ratio))
     carried = list(dict.fromkeys([*key, *on, *([min_overlap_ratio] if per_row else [])]))
-    words = rows.select(*carried, F.explode(lower_tokens(F.col("text"))).alias("token"))
+    words = exploded_tokens(rows, *carried)
     known = vocabulary.select(*on, "token", F.lit(True).alias("_known"))
     match = [*on, "token"]
     if fits_broadcast(vocabulary, broadcast_bytes, *match):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterflow.functions.text import has_text, lower_tokens, token_count
+from utterflow.functions.text import has_text, pieces, token_count
 from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW
 
@@ -39,8 +39,9 @@ def observed_schema(rows: DataFrame) -> DataFrame:
 
 
 def exploded_tokens(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per lower-cased token; partial counts combine before any shuffle."""
-    return rows.select(*keep, F.explode(lower_tokens(F.col("text"))).alias("token"))
+    """One row per lower-cased token. Dropping empty pieces as rows is cheaper
+    than building the token array without them."""
+    return rows.select(*keep, F.explode(pieces(F.lower("text"))).alias("token")).where("token != ''")
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def token_frequency(rows: DataFrame, top_k: int = 20, ties: str = "token") -> Da
     tied = reaching.join(shared, "cnt", "left_semi").select("token")
     if fits_broadcast(tied, BROADCAST_BYTES, "token"):
         tied = F.broadcast(tied)
-    placed = rows.select(PATH, ROW, F.posexplode(lower_tokens(F.col("text"))).alias("pos", "token"))
+    placed = rows.select(PATH, ROW, F.posexplode(pieces(F.lower("text"))).alias("pos", "token"))
     first = (
         placed.join(tied, "token", "left_semi")
         .groupBy("token")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from utterflow.functions.text import BLANK_CLASS, lower_tokens, strip_blanks
+from utterflow.operators.parallel import spread
 from utterflow.operators.profiles import exploded_tokens
 from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import PATH, ROW
@@ -50,18 +51,23 @@ def _sql_string(value: str) -> str:
     ) + "'"
 
 
+def _splits_text(config: OverlapFilter) -> bool:
+    """Whether the filter has to look at tokens, and not just for any text at all."""
+    tested = bool(config.vocabulary) and config.min_overlap_ratio > 0
+    return tested or config.min_tokens > 1 or config.max_tokens is not None
+
+
 def keep_condition(config: OverlapFilter | None) -> Column:
     """Whether a row passes. Without a config every row does, text or not."""
     if config is None:
         return F.lit(True)
     text = F.col("text")
-    tested = bool(config.vocabulary) and config.min_overlap_ratio > 0
-    if not tested and config.min_tokens <= 1 and config.max_tokens is None:
-        return F.coalesce(strip_blanks(text) != "", F.lit(False))  # no need to split
+    if not _splits_text(config):
+        return F.coalesce(strip_blanks(text) != "", F.lit(False))
     conditions = ["size(w) > 0", f"size(w) >= {int(config.min_tokens)}"]
     if config.max_tokens is not None:
         conditions.append(f"size(w) <= {int(config.max_tokens)}")
-    if tested:
+    if config.vocabulary and config.min_overlap_ratio > 0:
         members = ", ".join(_sql_string(t) for t in dict.fromkeys(config.vocabulary))
         conditions.append(
             f"size(filter(w, t -> t IN ({members}))) / size(w) "
@@ -77,7 +83,9 @@ def keep_condition(config: OverlapFilter | None) -> Column:
 
 
 def apply_filter(rows: DataFrame, config: OverlapFilter | None) -> DataFrame:
-    return rows if config is None else rows.where(keep_condition(config))
+    if config is None:
+        return rows
+    return (spread(rows) if _splits_text(config) else rows).where(keep_condition(config))
 
 
 def filters_of(pipeline: Iterable[Mapping[str, Any]]) -> dict[str, OverlapFilter]:
@@ -106,6 +114,8 @@ def apply_filters(rows: DataFrame, configs: Mapping[str, OverlapFilter]) -> Data
         this = F.col("dataset_key") == key
         branch = keep_condition(config)
         keep = F.when(this, branch) if keep is None else keep.when(this, branch)
+    if any(map(_splits_text, configs.values())):
+        rows = spread(rows)
     return rows.where(keep.otherwise(F.lit(True)))
 
 

@@ -1,0 +1,23 @@
+"""All cores for the text of a small table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_INPUT = 512 * 1024 * 1024
+PIECE = 2 * 1024 * 1024
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deals the rows of a *small* table out to all cores before work on its text.
+
+    A scan runs one task per row group, and a small table has one or a few of
+    them. Above SMALL_INPUT bytes - by Spark's own estimate from file sizes,
+    which needs no job - row groups are plenty and rows stay where they are.
+    """
+    if rows.isStreaming or not hasattr(rows, "_jdf"):
+        return rows
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    pieces = min(cores, size // PIECE)
+    return rows.repartition(pieces) if size <= SMALL_INPUT and pieces > 1 else rows

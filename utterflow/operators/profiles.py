@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterflow.functions.text import has_text, pieces, token_count
+from utterflow.operators.parallel import spread
 from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW
 
@@ -41,7 +42,10 @@ def observed_schema(rows: DataFrame) -> DataFrame:
 def exploded_tokens(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per lower-cased token. Dropping empty pieces as rows is cheaper
     than building the token array without them."""
-    return rows.select(*keep, F.explode(pieces(F.lower("text"))).alias("token")).where("token != ''")
+    texts = spread(rows.select(*keep, "text"))
+    return texts.select(*keep, F.explode(pieces(F.lower("text"))).alias("token")).where(
+        "token != ''"
+    )
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -68,7 +72,8 @@ def token_frequency(rows: DataFrame, top_k: int = 20, ties: str = "token") -> Da
     tied = reaching.join(shared, "cnt", "left_semi").select("token")
     if fits_broadcast(tied, BROADCAST_BYTES, "token"):
         tied = F.broadcast(tied)
-    placed = rows.select(PATH, ROW, F.posexplode(pieces(F.lower("text"))).alias("pos", "token"))
+    texts = spread(rows.select(PATH, ROW, "text"))
+    placed = texts.select(PATH, ROW, F.posexplode(pieces(F.lower("text"))).alias("pos", "token"))
     first = (
         placed.join(tied, "token", "left_semi")
         .groupBy("token")
@@ -81,7 +86,7 @@ def token_frequency(rows: DataFrame, top_k: int = 20, ties: str = "token") -> Da
 def text_length_profile(rows: DataFrame) -> DataFrame:
     """Tokens per text over rows that have text; null figures when none has."""
     n = F.when(has_text(F.col("text")), token_count(F.col("text")))
-    return rows.select(n.cast("bigint").alias("n")).agg(
+    return spread(rows.select("text")).select(n.cast("bigint").alias("n")).agg(
         F.count("*").alias("rows"),
         F.count("n").alias("count_with_text"),
         F.min("n").alias("min_tokens"),

@@ -12,6 +12,7 @@ from utterflow.operators.canonical import canonical_rows
 from utterflow.operators.filters import OverlapFilter
 from utterflow.operators.splits import assign_split, split_summary, split_totals
 from utterflow.plans import materialize as m
+from utterflow.plans.storage import new_folder
 from utterflow.sources.vocabulary import read_top_tokens, write_top_tokens
 
 RECIPE = {
@@ -142,6 +143,24 @@ def test_vocabulary_tables_override_the_recipe(spark, corpus, tmp_path):
     assert rows.columns[-1] == "split" and "_path" not in rows.columns
 
 
+def test_manifest_records_added_filters(spark, corpus, tmp_path):
+    filters = {"news": OverlapFilter(("text",), 0.1, 4)}
+    done = m.materialize(spark, RECIPE, corpus, str(tmp_path), filters=filters)
+    section = json.loads(done.totals.first().recipe)["filters"]
+    assert section["status"] == "configured" and len(section["pipeline"]) == 2
+    assert section["pipeline"][1] == {
+        "type": "text_frequency_overlap", "dataset_key": "news", "top_tokens": ["text"],
+        "min_overlap_ratio": 0.1, "min_text_tokens": 4, "max_text_tokens": None,
+    }
+    assert len(RECIPE["filters"]["pipeline"]) == 1
+    again = m.select_rows(spark, {**RECIPE, "filters": section}, corpus)
+    assert again.count() == done.totals.first().rows == 2
+
+
+def test_intermediate_tables_go_to_the_shared_folder(spark):
+    assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_bad_recipes_fail_before_any_job(spark, corpus):
     with pytest.raises(ValueError):
         m.select_rows(spark, {**RECIPE, "split_strategy": {"policy": "other"}}, corpus)

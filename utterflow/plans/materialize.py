@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from utterflow.functions.hashing import check_ratio, target_split
 from utterflow.operators.canonical import canonical_rows, union_rows
 from utterflow.operators.filters import (
+    FILTER_TYPE,
     OverlapFilter,
     apply_filter,
     filter_by_vocabulary,
@@ -63,6 +64,34 @@ def check_strategy(strategy: Mapping[str, Any]) -> dict[str, Any]:
     return resolved
 
 
+def _pipeline(recipe: Mapping[str, Any]) -> list[Mapping[str, Any]]:
+    section = recipe.get("filters")
+    return list(section.get("pipeline") or []) if isinstance(section, Mapping) else []
+
+
+def with_filters(
+    recipe: Mapping[str, Any], filters: Mapping[str, OverlapFilter | VocabularyFilter] | None
+) -> dict[str, Any]:
+    """The recipe with the filters added to its pipeline, as its manifest records it.
+
+    A vocabulary that is a table is not spelled out.
+    """
+    pipeline = _pipeline(recipe)
+    for key, config in (filters or {}).items():
+        entry = {
+            "type": FILTER_TYPE,
+            "dataset_key": key,
+            "min_overlap_ratio": config.min_overlap_ratio,
+            "min_text_tokens": config.min_tokens,
+            "max_text_tokens": config.max_tokens,
+        }
+        if isinstance(config, OverlapFilter):
+            entry["top_tokens"] = list(config.vocabulary)
+        pipeline.append(entry)
+    status = "configured" if pipeline else "not_started"
+    return {**recipe, "filters": {"status": status, "pipeline": pipeline}}
+
+
 def select_rows(
     spark: SparkSession,
     recipe: Mapping[str, Any],
@@ -78,8 +107,7 @@ def select_rows(
     override those of the recipe; a recipe's sample policy does not apply.
     """
     strategy = check_strategy(recipe.get("split_strategy", {}))
-    pipeline = (recipe.get("filters") or {}).get("pipeline") or []
-    configs = {**filters_of(pipeline), **(filters or {})}
+    configs = {**filters_of(_pipeline(recipe)), **(filters or {})}
     branches = []
     for entry in recipe.get("selected_datasets", []):
         key = entry["dataset_key"]
@@ -300,5 +328,5 @@ def materialize(
         mode=mode,
         rebalance=rebalance,
     )
-    write_manifest(spark, out_dir, recipe, include_audio, output_format)
+    write_manifest(spark, out_dir, with_filters(recipe, filters), include_audio, output_format)
     return read_manifest(spark, out_dir)

@@ -35,7 +35,9 @@ def _filesystem(path: str):
     """File system and path within it; anything Arrow knows by URI, else local."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import INTERVIEWS, NEWS, PHRASES, plan_of, write
 from utterflow.operators.canonical import canonical_rows, canonicalize, union_sources
 from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW, Source, SourceSpec
+from utterflow.sources import parquet
 from utterflow.sources.parquet import first_rows, list_files, read_rows, read_split, split_counts
 
 
@@ -191,6 +192,13 @@ def test_first_rows_reads_leading_files_only(spark, shards):
     assert picked.rdd.getNumPartitions() <= 1
 
 
+def test_first_rows_when_the_listing_spells_paths_otherwise(spark, shards, monkeypatch):
+    rows = spark.read.parquet(str(shards).replace("[", "\\[").replace("]", "\\]"))
+    monkeypatch.setattr(parquet, "list_files", lambda frame: ["other:/a", "other:/b"])
+    picked = first_rows(rows, 6, ["text"])
+    assert sorted(r.text for r in picked.collect()) == [f"t{j:02d}" for j in range(6)]
+
+
 def test_row_index_survives_small_input_partitions(spark, tmp_path):
     path = str(tmp_path / "big")
     spark.range(0, 20_000, 1, 1).select(F.col("id").cast("string").alias("text")).write.option(

@@ -53,6 +53,22 @@ def list_files(rows: DataFrame) -> list[str]:
     return sorted(re.sub(r"^([\w+.-]+):///", r"\1:/", f) for f in rows.inputFiles())
 
 
+def _covering(rows: DataFrame, files: list[str], limit: int) -> list[tuple[str, int]]:
+    """Leading files that hold the first ``limit`` rows, and how many of each count."""
+    found: list[tuple[str, int]] = []
+    missing, step = limit, 1
+    while missing > 0 and files:
+        chunk, files, step = files[:step], files[step:], min(step * 2, 4096)
+        counted = rows.where(_file_path().isin(chunk)).groupBy(_file_path().alias(PATH)).count()
+        counts = {r[PATH]: r["count"] for r in counted.collect()}  # at most one row per file
+        for file in chunk:
+            taken = min(counts.get(file, 0), missing)
+            if taken:
+                found.append((file, taken))
+                missing -= taken
+    return found
+
+
 def first_rows(rows: DataFrame, limit: int, wanted: list[str]) -> DataFrame:
     """The first ``limit`` rows in (file, row) order of an unprojected scan.
 
@@ -64,21 +80,15 @@ def first_rows(rows: DataFrame, limit: int, wanted: list[str]) -> DataFrame:
     """
     if limit < 0:
         raise ValueError(f"limit must be >= 0, got {limit}")
-    files = list_files(rows)
-    leading: list[str] = []
-    last, last_rows, missing, step = None, 0, limit, 1
-    while missing > 0 and files:
-        chunk, files, step = files[:step], files[step:], min(step * 2, 4096)
-        counted = rows.where(_file_path().isin(chunk)).groupBy(_file_path().alias(PATH)).count()
-        counts = {r[PATH]: r["count"] for r in counted.collect()}  # at most one row per file
-        for file in chunk:
-            if counts.get(file, 0) and missing > 0:
-                leading.append(file)
-                last, last_rows = file, missing
-                missing -= counts[file]
+    leading = _covering(rows, list_files(rows), limit)
+    if not leading and limit > 0:
+        # An empty table, or a file system whose listing spells paths otherwise.
+        paths = rows.select(_file_path().alias(PATH)).distinct().orderBy(PATH)
+        leading = _covering(rows, [r[PATH] for r in paths.collect()], limit)
     if not leading:
         return scan_columns(rows.where(F.lit(False)), wanted)
-    picked = scan_columns(rows.where(_file_path().isin(leading)), wanted)
+    last, last_rows = leading[-1]
+    picked = scan_columns(rows.where(_file_path().isin([f for f, _ in leading])), wanted)
     return picked.where((F.col(PATH) != last) | (F.col(ROW) < last_rows))
 
 

@@ -155,7 +155,9 @@ def mixed(
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - (
         F.greatest(F.col("start"), F.col("block") * block_words)
     )
-    found = pieces.join(times, ["source_id", "block"], "left")
+    # Spark takes the blocks for as few as the sources that they are made from: without the hint
+    # it would broadcast them.
+    found = pieces.join(times.hint("merge"), ["source_id", "block"], "left")
     return found.groupBy(*keys).agg(
         F.sum(overlap * F.coalesce(F.col("times"), F.lit(0))).cast("long").alias("taken"),
         # Rows that agree in all keys, which only documents without words can.
@@ -198,6 +200,9 @@ def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
 def _times(sources: DataFrame, shard_slots: int, cap: int, seed: int) -> DataFrame:
     """``(source_id, block, times)``: how often each block is taken."""
     counts = shard_counts(sources, shard_slots, seed).where("slots > 0 AND blocks > 0")
+    # A few rows by now; spread over tasks before each becomes thousands of slots.
+    n_tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = counts.repartition(n_tasks, "source_id", "shard")
     slots = counts.select(
         "source_id",
         "blocks",

@@ -43,6 +43,7 @@ _NOTICE = re.compile(
     r"|pagination|pager|toolbar|widget|complementary|contentinfo|skip-link)(?:$|[\s_-]|\d)",
     re.I,
 )
+_CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _SPACE = re.compile(r"\s+")
 
 
@@ -71,11 +72,11 @@ class PageLines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.section_names: list[str] = []
+        self.section_names: list[str] = ["page"]
         self._open: list[tuple[str, bool, int | None]] = []  # name, left out, section number
         self._out = 0
-        self._sections: tuple[int, ...] = ()
-        self._line = Line(())
+        self._sections: tuple[int, ...] = (0,)
+        self._line = Line(self._sections)
 
     def _break(self) -> None:
         if self._line.parts:
@@ -129,10 +130,10 @@ class PageLines(HTMLParser):
                 return
         else:
             return
-        for _, out, section in self._open[i:]:
-            self._out -= out
-            if section is not None:
-                self._sections = self._sections[: self._sections.index(section)]
+        self._out -= sum(out for _, out, _ in self._open[i:])
+        ended = [section for _, _, section in self._open[i:] if section is not None]
+        if ended:
+            self._sections = self._sections[: self._sections.index(ended[0])]
         del self._open[i:]
         self._line.sections = self._sections
 
@@ -160,7 +161,10 @@ def smoothed(ratios: np.ndarray, radius: int = 2) -> np.ndarray:
 def main_text(html: str | None) -> str:
     """The text of the content regions, blocks joined by line feeds; empty if there is none."""
     page = PageLines()
-    page.feed(html or "")
+    html = html or ""
+    if html.rfind("<") > html.rfind(">") and _CUT_OFF.match(html, html.rfind("<")):
+        html = html[: html.rfind("<")]  # the page ends within a tag
+    page.feed(html)
     lines = page.finished()
     if not lines:
         return ""
@@ -177,7 +181,7 @@ def main_text(html: str | None) -> str:
     if not chosen and held:
         # The innermost section with nearly all of the content.
         most = max(held.values())
-        chosen = {max(s for s, n in held.items() if n >= 0.7 * most)}
+        chosen = {max(s for s, n in held.items() if n >= 0.8 * most)}
     return "\n".join(
         text for line, text in lines if not chosen or not chosen.isdisjoint(line.sections)
     )

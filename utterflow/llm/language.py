@@ -148,7 +148,7 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, lengths: np.ndarray, penalty:
     starts = (np.cumsum(lengths) - lengths)[order]
     sizes = lengths[order]
     labels = np.zeros(len(rows), np.int8)
-    if not len(order):
+    if not len(order) or not scores.shape[1]:
         return labels
     longest = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")  # texts with a word t

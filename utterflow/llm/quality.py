@@ -163,4 +163,5 @@ def ablations(rows: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 
 def clean_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """The documents that a policy keeps, with the columns of ``docs``."""
-    return judged(ledger(docs), policy).where("kept").select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
+    return judged(ledger(whole), policy).where("kept").select("__row.*")

@@ -31,7 +31,8 @@ from utterflow.llm.tables import Stored
 
 LENGTH = 50
 ANCHOR = 24
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+BUCKET_VALUES = 1 << 21
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -385,8 +386,8 @@ def repeated_strings_removed(
         F.lit(None).cast("binary").alias("packed"),
     )
     chunks = rows.withColumn("chunk", chunk).groupBy("chunk")
-    anchor_bits = collisions.bucket_bits(2 * total // (length - ANCHOR + 2))
-    string_bits = collisions.bucket_bits(total // 4)
+    anchor_bits = collisions.bucket_bits(2 * total // (length - ANCHOR + 2), BUCKET_VALUES)
+    string_bits = collisions.bucket_bits(total // 4, BUCKET_VALUES)
 
     def blocks(table: pa.Table, values, bits: int, labels=None) -> pa.Table:
         which = table["chunk"][0].as_py()

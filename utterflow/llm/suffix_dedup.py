@@ -31,8 +31,9 @@ from utterflow.llm.tables import Stored
 
 LENGTH = 50
 ANCHOR = 24
-CHUNK_BYTES = 2 << 20
-BUCKET_VALUES = 1 << 21
+CHUNK_BYTES = 1 << 20
+BUCKET_VALUES = 1 << 20
+SPARE_BITS = 18  # of an anchor hash beyond what tells the anchors of a block apart
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -343,12 +344,15 @@ def _of_kind(notes: pa.Table, kind: int) -> pa.Table:
     return notes.filter(pa.array(notes["kind"].to_numpy() == kind))
 
 
-def _left(own: Chunk, every: Chunk, notes: pa.Table, bits: int):
-    """What is left of a chunk without later copies; ``every`` is the chunk with them."""
-    values, _ = every.anchors()
-    elsewhere = collisions.flags_of(_of_kind(notes, _ANCHORS), values, bits)
+def _left(table: pa.Table, notes: pa.Table, length: int, bits: int):
+    """The chunk without later copies, the rows of its documents, and what is left of it."""
+    own, order = _opened(table, length, notes)
+    every = own if len(order) == table.num_rows else _opened(table, length)[0]
+    values, _ = every.anchors()  # in the order in which they were sent
+    del every
+    repeated = values[collisions.flags_of(_of_kind(notes, _ANCHORS), values, bits)]
     here, several = own.anchors()
-    return own.candidates(np.union1d(values[elsewhere], here[several]))
+    return own, order, own.candidates(np.union1d(repeated, here[several]))
 
 
 def repeated_strings_removed(
@@ -386,35 +390,34 @@ def repeated_strings_removed(
         F.lit(None).cast("binary").alias("packed"),
     )
     chunks = rows.withColumn("chunk", chunk).groupBy("chunk")
-    anchor_bits = collisions.bucket_bits(2 * total // (length - ANCHOR + 2), BUCKET_VALUES)
+    n_anchors = 2 * total // (length - ANCHOR + 2)
+    anchor_bits = collisions.bucket_bits(n_anchors, BUCKET_VALUES)
+    block = max(1.0, n_anchors / n_chunks / (1 << anchor_bits))
+    anchor_drop = max(0, 64 - anchor_bits - int(np.ceil(np.log2(block))) - SPARE_BITS)
     string_bits = collisions.bucket_bits(total // 4, BUCKET_VALUES)
 
-    def blocks(table: pa.Table, values, bits: int, labels=None) -> pa.Table:
+    def blocks(table: pa.Table, values, bits: int, labels=None, drop: int = 0) -> pa.Table:
         which = table["chunk"][0].as_py()
-        found = list(collisions.split_buckets(which, values, bits, labels=labels))
+        found = list(collisions.split_buckets(which, values, bits, drop, labels))
         return pa.Table.from_pylist(found, collisions.PACKED_SCHEMA)
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        return blocks(table, _opened(table, length)[0].anchors()[0], anchor_bits)
+        values, _ = _opened(table, length)[0].anchors()
+        return blocks(table, values, anchor_bits, drop=anchor_drop)
 
     def send_strings(table: pa.Table, notes: pa.Table) -> pa.Table:
         if not table.num_rows:
             return collisions.PACKED_SCHEMA.empty_table()
-        own, order = _opened(table, length, notes)
-        every = own if len(order) == table.num_rows else _opened(table, length)[0]
-        data, starts, places = _left(own, every, notes, anchor_bits)
+        own, _, (data, starts, places) = _left(table, notes, length, anchor_bits)
         labels = own.ids[own.owner[places]]
-        del own, every, places
+        del own, places
         values, labels = _distinct_strings(data, starts, labels, length)
         return blocks(table, values, string_bits, labels)
 
     def remove(table: pa.Table, notes: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _schema(kept_text).empty_table()
-        own, order = _opened(table, length, notes)
-        every = own if len(order) == table.num_rows else _opened(table, length)[0]
-        data, starts, places = _left(own, every, notes, anchor_bits)
-        del every
+        own, order, (data, starts, places) = _left(table, notes, length, anchor_bits)
         strings = _of_kind(notes, _STRINGS)
         marked = _marked_starts(
             data,

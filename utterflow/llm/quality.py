@@ -121,7 +121,10 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     for rule in RULES:
         failed = F.when(rule.fails(), F.lit(1 << rule.bit)).otherwise(F.lit(0))
         bits = bits.bitwiseOR(failed.cast("long"))
-    return measured(docs, text).withColumn("failures", bits)
+    # A filter on the bits would be pushed below the measurements, and each mention of one would
+    # compute it again. Spark leaves filters above a column that depends on a row's place.
+    held = F.when(F.monotonically_increasing_id() >= 0, bits)
+    return measured(docs, text).withColumn("failures", held)
 
 
 def judged(rows: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:

@@ -143,3 +143,11 @@ def test_median_does_not_gather_values_in_one_task(spark):
     frame = spark.range(10).select(F.col("id").cast("double").alias("v"))
     plan = plan_of(overview.exact_median(frame, "v"))
     assert "percentile" not in plan and "median(" not in plan
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_median_by_many_small_steps(spark, name, monkeypatch):
+    monkeypatch.setattr(overview, "PARTS", 8)
+    monkeypatch.setattr(overview, "FEW", 1)
+    frame = spark.createDataFrame([(v,) for v in CASES[name][:60]], "v double")
+    assert overview.exact_median(frame, "v").first().median == statistics.median(CASES[name][:60])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from urllib.parse import quote
 
@@ -20,14 +21,21 @@ def seed_path(root: str | None, path: Column) -> Column:
 
     Both the sampling and the full scan use it, so one row has one id. Without
     a root it is the whole path, which keeps equal file names in different
-    directories apart. ``url_decode`` would turn + into a space.
+    directories apart. A root without a scheme begins right after scheme and
+    authority of a path. ``url_decode`` would turn + into a space.
     """
     if root:
-        start = quote(root.rstrip("/") + "/", safe="/:@!$&'()*+,;=-._~")
-        at = F.instr(path, start)
-        path = F.when(at > 0, F.substring(path, at + F.lit(len(start)), F.length(path))).otherwise(
-            path
-        )
+        scheme, rest = re.match(r"(?s)([A-Za-z][\w+.-]*:)?(.*)", root).groups()
+        start = re.escape(quote(rest.rstrip("/") + "/", safe="/:@!$&'()*+,;=-._~"))
+        if not scheme:
+            lead = "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?" + start
+        else:
+            # file:/x, file:///x and file://x name the same for a path without an authority.
+            local = re.match(r"/{2,}", rest) is None or rest.startswith("///")
+            slashes = "/{1,3}" if local else "//"
+            inner = re.escape(quote(rest.strip("/") + "/", safe="/:@!$&'()*+,;=-._~"))
+            lead = f"^{re.escape(scheme)}{slashes}{inner}"
+        path = F.regexp_replace(path, F.lit(lead), F.lit(""))
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 

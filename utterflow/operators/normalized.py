@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from utterflow.functions.text import char_count, normalize_text, token_count
 from utterflow.operators.canonical import _source_column, audio_struct, union_rows
 from utterflow.schema import PATH, ROW, CANONICAL_SCHEMA, Source, SourceSpec
-from utterflow.sources.parquet import first_rows, list_files, read_split, scan_columns
+from utterflow.sources.parquet import (
+    leading_files,
+    list_files,
+    read_split,
+    rows_of_files,
+    scan_columns,
+)
 
 # About 200 bytes per file: up to 40 MB go to every executor. Tables with more
 # files join by shuffle, where adaptive execution splits a file that is skewed.
@@ -17,13 +23,23 @@ BROADCAST_FILES = 200_000
 POSITION = "_position"
 
 
-def with_position(picked: DataFrame, split_rows: DataFrame) -> DataFrame:
+def with_position(
+    picked: DataFrame, split_rows: DataFrame, leading: list[tuple[str, int]] | None = None
+) -> DataFrame:
     """Adds the 0-based index of each row within its split, in file order.
 
+    ``leading`` are the files of a sample with the rows it takes of each: then no other is counted.
+
     The index is the row's own place in its file plus the rows of the files
     before it. Only one row per *file* is summed up in order (the driver lists
     as many); data rows are neither sorted nor shuffled.
     """
+    if leading is not None:
+        starts = {p: sum(n for _, n in leading[:i]) for i, (p, _) in enumerate(leading)}
+        if not starts:
+            return picked.withColumn(POSITION, F.col(ROW))
+        known = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])
+        return picked.withColumn(POSITION, known[F.col(PATH)] + F.col(ROW))
     per_file = split_rows.groupBy(F.col("_metadata.file_path").alias(PATH)).count()
     before = Window.orderBy(PATH).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_file.select(
@@ -85,10 +101,11 @@ def normalized_rows(
         if rows is None:
             continue
         if sample_size is None:
-            picked = scan_columns(rows, wanted)
+            placed = with_position(scan_columns(rows, wanted), rows)
         else:
-            picked = first_rows(rows, sample_size, wanted)
-        branches.append(normalize_rows(with_position(picked, rows), spec, split, include_audio))
+            leading = leading_files(rows, sample_size)
+            placed = with_position(rows_of_files(rows, leading, wanted), rows, leading)
+        branches.append(normalize_rows(placed, spec, split, include_audio))
     schema = list(CANONICAL_SCHEMA)
     empty = spark.createDataFrame([], CANONICAL_SCHEMA).withColumn(
         "text_source_column", F.lit(spec.text_column)

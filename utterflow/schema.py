@@ -61,6 +61,9 @@ class SourceSpec:
     duration_column: str | None = None
     audio_column: str = "audio"
     unexported_splits: tuple[str, ...] = ()
+    # Declared, as what is known of the dataset; None leaves it to the splits that a source has.
+    train_only: bool | None = None
+    default_splits: tuple[str, ...] = ()
 
     def mapped_columns(self) -> list[str]:
         """Source columns the canonical row is made from; audio is never among them."""
@@ -116,4 +119,11 @@ class Source:
 
     @property
     def train_only(self) -> bool:
-        return self.splits == ["train"]
+        declared = self.spec.train_only
+        return self.splits == ["train"] if declared is None else declared
+
+    @property
+    def first_split(self) -> str | None:
+        """The split that stands for the source: its first default one that exists, or any."""
+        known = [s for s in self.spec.default_splits if s in self.paths]
+        return (known or self.splits or [None])[0]

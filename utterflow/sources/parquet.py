@@ -17,10 +17,32 @@ def _file_path() -> Column:
 def _read(spark: SparkSession, paths: list[str], wanted: list[str]) -> DataFrame:
     """Spark takes the schema of one file. A wanted column that this file lacks
     may be in others, so only then are the schemas of all files merged."""
-    rows = spark.read.parquet(*paths)
+    rows = _each_file_once(spark, spark.read, paths)
     if set(wanted) <= set(rows.columns) or len(rows.inputFiles()) == 1:
         return rows
-    return spark.read.option("mergeSchema", True).parquet(*paths)
+    return _each_file_once(spark, spark.read.option("mergeSchema", True), paths)
+
+
+def _each_file_once(spark: SparkSession, reader, paths: list[str]) -> DataFrame:
+    """Paths may overlap, as a glob and a file in it do; Spark would read that file twice.
+
+    With several paths the driver's listing tells; only if a file is in it twice are the files read
+    one by one.
+    """
+    rows = reader.parquet(*paths)
+    if len(paths) == 1:
+        return rows
+    return rows if _is_set(listed := _listing(rows)) else reader.parquet(*sorted(set(listed)))
+
+
+def _listing(rows: DataFrame) -> list[str]:
+    """Files that a scan reads, as often as it reads them."""
+    scan = rows._jdf.queryExecution().optimizedPlan().collectLeaves().head()
+    return list(scan.relation().location().inputFiles())
+
+
+def _is_set(items: list[str]) -> bool:
+    return len(set(items)) == len(items)
 
 
 def scan_columns(rows: DataFrame, wanted: list[str]) -> DataFrame:
@@ -41,7 +63,7 @@ def read_split(
     if not paths:
         return None
     if source.schema is not None:
-        return spark.read.schema(source.schema).parquet(*paths)
+        return _each_file_once(spark, spark.read.schema(source.schema), paths)
     return _read(spark, paths, wanted)
 
 
@@ -78,13 +100,25 @@ def first_rows(rows: DataFrame, limit: int, wanted: list[str]) -> DataFrame:
     next time, until they cover the limit. What is left is a filter - Spark
     prunes the other files by path - with no sort and no shuffle.
     """
+    return rows_of_files(rows, leading_files(rows, limit), wanted)
+
+
+def leading_files(rows: DataFrame, limit: int) -> list[tuple[str, int]]:
+    """The files that hold the first ``limit`` rows, and how many of each count; at most ``limit``."""
     if limit < 0:
         raise ValueError(f"limit must be >= 0, got {limit}")
     leading = _covering(rows, list_files(rows), limit)
     if not leading and limit > 0:
         # An empty table, or a file system whose listing spells paths otherwise.
         paths = rows.select(_file_path().alias(PATH)).distinct().orderBy(PATH)
-        leading = _covering(rows, [r[PATH] for r in paths.collect()], limit)
+        leading = _covering(rows, [r[PATH] for r in paths.limit(limit + 4096).collect()], limit)
+    return leading
+
+
+def rows_of_files(
+    rows: DataFrame, leading: list[tuple[str, int]], wanted: list[str]
+) -> DataFrame:
+    """The rows of ``leading_files``, of which only the last file is not taken whole."""
     if not leading:
         return scan_columns(rows.where(F.lit(False)), wanted)
     last, last_rows = leading[-1]

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,13 @@ from utterflow.operators.filters import (
     filter_by_vocabulary,
     filters_of,
 )
+from utterflow.plans.storage import delete_folder, durable, qualified
 from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW, Source, canonical_schema
 from utterflow.sources.arrow_ipc import FORMAT as ARROW_FORMAT
 from utterflow.sources.arrow_ipc import register_arrow_ipc
 
 FORMATS = ("parquet", "arrow", "both")
+MODES = ("errorifexists", "overwrite", "append", "ignore")
 # Defaults of the vocabulary filter and of the output files.
 DEFAULT_TOP_K, DEFAULT_MIN_OVERLAP, DEFAULT_ROWS_PER_FILE = 500, 0.5, 100_000
 
@@ -35,12 +38,22 @@ CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 @dataclass(frozen=True)
 class VocabularyFilter:
-    """A filter whose vocabulary is a table (column ``token``, optionally ``rank``)."""
+    """A filter whose vocabulary is a table (column ``token``).
+
+    With a column ``rank``, only the first ``top_k`` ranks count; None means all.
+    """
 
     vocabulary: DataFrame
     min_overlap_ratio: float = DEFAULT_MIN_OVERLAP
     min_tokens: int = 1
     max_tokens: int | None = None
+    top_k: int | None = DEFAULT_TOP_K
+
+    def tokens(self) -> DataFrame:
+        table = self.vocabulary
+        if self.top_k is not None and "rank" in table.columns:
+            table = table.where(F.col("rank") < self.top_k)
+        return table.select("token")
 
 
 @dataclass(frozen=True)
@@ -70,11 +83,13 @@ def _pipeline(recipe: Mapping[str, Any]) -> list[Mapping[str, Any]]:
 
 
 def with_filters(
-    recipe: Mapping[str, Any], filters: Mapping[str, OverlapFilter | VocabularyFilter] | None
+    recipe: Mapping[str, Any],
+    filters: Mapping[str, OverlapFilter | VocabularyFilter] | None,
+    vocabularies: Mapping[str, str] | None = None,
 ) -> dict[str, Any]:
     """The recipe with the filters added to its pipeline, as its manifest records it.
 
-    A vocabulary that is a table is not spelled out.
+    A vocabulary that is a table is kept as one, next to the manifest; the entry names its place.
     """
     pipeline = _pipeline(recipe)
     for key, config in (filters or {}).items():
@@ -87,6 +102,8 @@ def with_filters(
         }
         if isinstance(config, OverlapFilter):
             entry["top_tokens"] = list(config.vocabulary)
+        elif vocabularies is not None:
+            entry["vocabulary_path"] = vocabularies[key]
         pipeline.append(entry)
     status = "configured" if pipeline else "not_started"
     return {**recipe, "filters": {"status": status, "pipeline": pipeline}}
@@ -107,7 +124,8 @@ def select_rows(
     override those of the recipe; a recipe's sample policy does not apply.
     """
     strategy = check_strategy(recipe.get("split_strategy", {}))
-    configs = {**filters_of(_pipeline(recipe)), **(filters or {})}
+    pipeline = _pipeline(recipe)
+    configs = {**filters_of(pipeline), **_table_filters(spark, pipeline), **(filters or {})}
     branches = []
     for entry in recipe.get("selected_datasets", []):
         key = entry["dataset_key"]
@@ -125,7 +143,7 @@ def select_rows(
         if by_table:
             rows = filter_by_vocabulary(
                 rows,
-                config.vocabulary,
+                config.tokens(),
                 config.min_overlap_ratio,
                 config.min_tokens,
                 config.max_tokens,
@@ -137,6 +155,25 @@ def select_rows(
     return selected.withColumn("split", target_split(**strategy))
 
 
+def _table_filters(
+    spark: SparkSession, pipeline: list[Mapping[str, Any]]
+) -> dict[str, VocabularyFilter]:
+    """Filters whose vocabulary a manifest keeps as a table; the last entry of a dataset counts."""
+    last = {e["dataset_key"]: e for e in pipeline
+            if e.get("type") == FILTER_TYPE and e.get("dataset_key")}
+    return {
+        key: VocabularyFilter(
+            spark.read.parquet(e["vocabulary_path"]),
+            float(e.get("min_overlap_ratio", 0.0)),
+            int(e.get("min_text_tokens", 1)),
+            None if e.get("max_text_tokens") is None else int(e["max_text_tokens"]),
+            top_k=None,
+        )
+        for key, e in last.items()
+        if e.get("vocabulary_path")
+    }
+
+
 @contextmanager
 def _without_sort(spark: SparkSession, writers: int = 8):
     """Keeps one file per split open in a task, so that rows (and audio) need
@@ -168,22 +205,61 @@ def write_splits(
         raise ValueError(f"unknown format {output_format!r}, expected one of {', '.join(FORMATS)}")
     if max_rows_per_file < 1:
         raise ValueError("max_rows_per_file must be at least 1")
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(MODES)}")
     spark = rows.sparkSession
+    held = formats_of(spark, out_dir)
+    wanted = {"parquet", "arrow"} if output_format == "both" else {output_format}
+    if held and mode == "errorifexists":
+        raise FileExistsError(f"{out_dir} already holds {' and '.join(sorted(held))} files")
+    if held and mode == "ignore":
+        return
+    if held and mode == "append" and held != wanted:
+        raise ValueError(f"{out_dir} holds {' and '.join(sorted(held))} files, not {output_format}")
+    if mode == "overwrite":
+        # All formats: what another one left behind is not part of the new output. The rows may
+        # come from there, so they are not read after this.
+        rows = durable(rows) if held else rows
+        for name in ("parquet", "arrow", "_manifest"):
+            delete_folder(spark, f"{out_dir}/{name}")
     if rebalance:
         rows = rows.hint("rebalance", F.col("split"))
-    if output_format in ("parquet", "both"):
+    if "parquet" in wanted:
+        before = set(_data_files(spark, out_dir))
         with _without_sort(spark):
-            rows.write.mode(mode).partitionBy("split").option(
+            rows.write.mode("append").partitionBy("split").option(
                 "maxRecordsPerFile", max_rows_per_file
             ).parquet(f"{out_dir}/parquet")
-        rows = read_split_parquet(spark, out_dir, rows.schema)  # do not compute it twice
-    if output_format in ("arrow", "both"):
+        if "arrow" in wanted:  # what was written just now is not computed twice
+            new = sorted(set(_data_files(spark, out_dir)) - before)
+            rows = _written(spark, out_dir, rows.schema, new)
+    if "arrow" in wanted:
         register_arrow_ipc(spark)
-        if mode == "errorifexists" and _arrow_or_none(spark, out_dir) is not None:
-            raise FileExistsError(f"{out_dir}/arrow already holds Arrow files")
-        rows.write.format(ARROW_FORMAT).mode(
-            "overwrite" if mode == "overwrite" else "append"
-        ).option("maxRecordsPerFile", max_rows_per_file).save(f"{out_dir}/arrow")
+        rows.write.format(ARROW_FORMAT).mode("append").option(
+            "maxRecordsPerFile", max_rows_per_file
+        ).save(_arrow_folder(spark, out_dir))
+
+
+def _data_files(spark: SparkSession, out_dir: str) -> list[str]:
+    """Parquet files of an output, as the driver lists them."""
+    try:
+        return list(spark.read.parquet(f"{out_dir}/parquet").inputFiles())
+    except AnalysisException:  # no such path, or no file in it
+        return []
+
+
+def _written(
+    spark: SparkSession, out_dir: str, schema: T.StructType, files: list[str]
+) -> DataFrame:
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{out_dir}/parquet").parquet(*files)
+
+
+def formats_of(spark: SparkSession, out_dir: str) -> set[str]:
+    """The formats that an output folder holds files of."""
+    found = {"parquet"} if _data_files(spark, out_dir) else set()
+    return found | ({"arrow"} if _arrow_or_none(spark, out_dir) is not None else set())
 
 
 def read_split_parquet(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
@@ -203,24 +279,63 @@ def _parquet_or_none(spark: SparkSession, out_dir: str) -> DataFrame | None:
     return read_split_parquet(spark, out_dir, T.StructType(fields))
 
 
-def _arrow_or_none(spark: SparkSession, out_dir: str) -> DataFrame | None:
+def _arrow_folder(spark: SparkSession, out_dir: str) -> str:
+    """Arrow opens files itself, so it is told the file system that Spark would use."""
+    return qualified(spark, f"{out_dir}/arrow")
+
+
+def _arrow_or_none(
+    spark: SparkSession,
+    out_dir: str,
+    splits: list[str] | None = None,
+    columns: list[str] | None = None,
+) -> DataFrame | None:
     register_arrow_ipc(spark)
+    reader = spark.read.format(ARROW_FORMAT)
+    if splits is not None:
+        reader = reader.option("only", json.dumps({"split": list(splits)}))
     try:
-        return spark.read.format(ARROW_FORMAT).load(f"{out_dir}/arrow")
+        found = reader.load(_arrow_folder(spark, out_dir))
+        if columns is not None:
+            names = dict.fromkeys([*columns, *(["split"] if splits is not None else [])])
+            schema = T.StructType([found.schema[name] for name in names])
+            found = reader.schema(schema).load(_arrow_folder(spark, out_dir))
+        return found
     except Exception as error:  # the data source reports through a Python worker
         if "no Arrow files under" in str(error):
             return None
         raise
 
 
-def reload(spark: SparkSession, out_dir: str, splits: list[str] | None = None) -> DataFrame:
-    """A materialised dataset as it was written, Parquet preferred over Arrow."""
-    found = _parquet_or_none(spark, out_dir)
-    if found is None:
-        found = _arrow_or_none(spark, out_dir)
+def reload(
+    spark: SparkSession,
+    out_dir: str,
+    splits: list[str] | None = None,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """A materialised dataset as it was written, in the format its manifest names first.
+
+    Parquet comes before Arrow, and without a manifest (a stream has none) what is there counts.
+    Only the named splits' files and columns are read, in either format.
+    """
+    listed = _manifest_formats(spark, out_dir)
+    found = _parquet_or_none(spark, out_dir) if "parquet" in (listed or FORMATS) else None
+    if found is None and "arrow" in (listed or FORMATS):
+        found = _arrow_or_none(spark, out_dir, splits, columns)
     if found is None:
         raise FileNotFoundError(f"no materialised files under {out_dir}")
-    return found if splits is None else found.where(F.col("split").isin(splits))
+    if splits is not None:
+        found = found.where(F.col("split").isin(splits))
+    return found if columns is None else found.select(*columns)
+
+
+def _manifest_formats(spark: SparkSession, out_dir: str) -> set[str] | None:
+    """The formats that the manifest lists; None without one, or if it lists no file."""
+    try:
+        files = spark.read.parquet(f"{out_dir}/_manifest/files")
+    except AnalysisException:
+        return None
+    return {r["format"] for r in files.select("format").distinct().collect()} or None
 
 
 def _per_file(spark: SparkSession, out_dir: str, output_format: str) -> DataFrame:
@@ -238,7 +353,7 @@ def _per_file(spark: SparkSession, out_dir: str, output_format: str) -> DataFram
         written = (
             spark.read.format(ARROW_FORMAT)
             .schema("split string, duration_seconds double, _path string")
-            .load(f"{out_dir}/arrow")
+            .load(_arrow_folder(spark, out_dir))
         )
         file = F.col("_path").alias("file")
         parts.append(
@@ -316,10 +431,20 @@ def materialize(
     mode: str = "errorifexists",
     rebalance: bool = False,
 ) -> Materialized:
-    """Select, filter, split and write a recipe's rows, then summarise what was written."""
-    rows = select_rows(
-        spark, recipe, sources, filters=filters, include_audio=include_audio
-    )
+    """Select, filter, split and write a recipe's rows, then summarise what was written.
+
+    The manifest's recipe replays the run: vocabularies that are tables are kept beside it.
+    """
+    if mode == "ignore" and formats_of(spark, out_dir):
+        return read_manifest(spark, out_dir)
+    # Written before rows are selected: the filter and the manifest see one table.
+    kept = {
+        key: replace(config, vocabulary=durable(config.tokens()), top_k=None)
+        if isinstance(config, VocabularyFilter)
+        else config
+        for key, config in (filters or {}).items()
+    }
+    rows = select_rows(spark, recipe, sources, filters=kept, include_audio=include_audio)
     write_splits(
         rows,
         out_dir,
@@ -328,5 +453,11 @@ def materialize(
         mode=mode,
         rebalance=rebalance,
     )
-    write_manifest(spark, out_dir, with_filters(recipe, filters), include_audio, output_format)
+    places = {}
+    for key, config in kept.items():
+        if isinstance(config, VocabularyFilter):
+            places[key] = f"{out_dir}/_manifest/vocabulary/dataset_key={quote(key, safe=' ')}"
+            config.vocabulary.write.mode("overwrite").parquet(places[key])
+    recorded = with_filters(recipe, kept, places)
+    write_manifest(spark, out_dir, recorded, include_audio, output_format)
     return read_manifest(spark, out_dir)

@@ -3,11 +3,13 @@
 Spark has no such format built in. Batches arrive as Arrow from the JVM and are
 written as they are, under the same ``split=<value>/`` layout as the Parquet
 sink. Options: ``path``; ``maxRecordsPerFile`` (write); ``partitionBy`` (write,
-default ``split``). A ``_path`` column in the schema of a read is the file path.
+default ``split``); ``only`` (read, JSON: partition column to the values to read). A ``_path``
+column in the schema of a read is the file path.
 """
 
 from __future__ import annotations
 
+import json
 import posixpath
 import sys
 import uuid
@@ -56,6 +58,15 @@ def _data_files(filesystem, root: str) -> list[str]:
     )
 
 
+def _partition_values(path: str) -> dict[str, str | None]:
+    """Values of the ``name=value`` folders of a path."""
+    pairs = [part.partition("=") for part in path.split("/") if "=" in part]
+    return {
+        name: None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
+        for name, _, value in pairs
+    }
+
+
 @dataclass
 class StagedFiles(WriterCommitMessage):
     staging: str = ""
@@ -72,6 +83,7 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         self.rows_per_file = int(options.get("maxrecordsperfile", 100_000))
         self.by = options.get("partitionby", "split")
         self.overwrite = overwrite
+        self.job = uuid.uuid4().hex  # tasks get a copy; other jobs have a staging of their own
         if self.rows_per_file < 1:
             raise ValueError("maxRecordsPerFile must be at least 1")
 
@@ -82,7 +94,7 @@ class ArrowIpcWriter(DataSourceArrowWriter):
 
         filesystem, root = _filesystem(self.path)
         task = f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
-        staged = StagedFiles(posixpath.join(root, STAGING, task))
+        staged = StagedFiles(posixpath.join(root, STAGING, self.job, task))
         opened: dict[str, tuple] = {}  # one open file per split
         rows: dict[str, int] = {}
 
@@ -91,6 +103,14 @@ class ArrowIpcWriter(DataSourceArrowWriter):
             writer.close()
             sink.close()
 
+        def start_file(value, schema):
+            name = f"{self.by}={value}/part-{task}-{len(staged.names):05d}.arrow"
+            target = posixpath.join(staged.staging, name)
+            filesystem.create_dir(posixpath.dirname(target), recursive=True)
+            sink = filesystem.open_output_stream(target)
+            staged.names.append(name)
+            return pa.ipc.new_file(sink, schema), sink
+
         for batch in iterator:
             keys = batch.column(self.by)
             body = batch.drop_columns([self.by])
@@ -98,22 +118,18 @@ class ArrowIpcWriter(DataSourceArrowWriter):
                 mask = pc.equal(keys, key) if key is not None else pc.is_null(keys)
                 part = body.filter(mask)
                 value = "__HIVE_DEFAULT_PARTITION__" if key is None else quote(key, safe=" ")
-                start = 0
-                while start < part.num_rows:
-                    if value not in opened:
-                        name = f"{self.by}={value}/part-{task}-{len(staged.names):05d}.arrow"
-                        target = posixpath.join(staged.staging, name)
-                        filesystem.create_dir(posixpath.dirname(target), recursive=True)
-                        sink = filesystem.open_output_stream(target)
-                        opened[value] = (pa.ipc.new_file(sink, part.schema), sink)
-                        staged.names.append(name)
-                        rows[value] = 0
-                    piece = part.slice(start, self.rows_per_file - rows[value])
-                    opened[value][0].write_batch(piece)
-                    rows[value] += piece.num_rows
-                    start += piece.num_rows
-                    if rows[value] >= self.rows_per_file:
-                        close(value)
+                # Row k of a split goes to file k // rows_per_file, so a batch is cut at multiples.
+                first, end = rows.get(value, 0), rows.get(value, 0) + part.num_rows
+                cuts = range(first - first % self.rows_per_file, end, self.rows_per_file)
+                for cut in cuts:
+                    if cut >= first:
+                        if value in opened:
+                            close(value)
+                        opened[value] = start_file(value, part.schema)
+                    low = max(cut, first)
+                    high = min(cut + self.rows_per_file, end)
+                    opened[value][0].write_batch(part.slice(low - first, high - low))
+                rows[value] = end
         for value in list(opened):
             close(value)
         return staged
@@ -129,19 +145,19 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         ]
         for folder in {posixpath.dirname(target) for _, target in moves}:
             filesystem.create_dir(folder, recursive=True)
+        # Old files go first: a commit that breaks off leaves too little, never old and new mixed.
         with ThreadPoolExecutor(32) as pool:
-            list(pool.map(lambda move: filesystem.move(*move), moves))
             list(pool.map(filesystem.delete_file, old))
+            list(pool.map(lambda move: filesystem.move(*move), moves))
         self._drop_staging(filesystem, root)
 
     def abort(self, messages: list) -> None:
         self._drop_staging(*_filesystem(self.path))
 
-    @staticmethod
-    def _drop_staging(filesystem, root: str) -> None:
+    def _drop_staging(self, filesystem, root: str) -> None:
         from pyarrow import fs
 
-        staging = posixpath.join(root, STAGING)
+        staging = posixpath.join(root, STAGING, self.job)
         if filesystem.get_file_info(staging).type == fs.FileType.Directory:
             filesystem.delete_dir(staging)
 
@@ -162,10 +178,15 @@ class ArrowIpcReader(DataSourceReader):
     def __init__(self, options, schema: StructType):
         self.path = options["path"]
         self.schema = schema
+        self.only = json.loads(options.get("only", "{}"))
 
     def partitions(self) -> list[ArrowFile]:
         filesystem, root = _filesystem(self.path)
-        return [ArrowFile(p) for p in _data_files(filesystem, root)] or [ArrowFile("")]
+        files = [p for p in _data_files(filesystem, root) if self._wanted(_partition_values(p))]
+        return [ArrowFile(p) for p in files] or [ArrowFile("")]
+
+    def _wanted(self, values: dict) -> bool:
+        return all(name not in values or values[name] in few for name, few in self.only.items())
 
     def read(self, partition: ArrowFile) -> Iterator:
         import pyarrow as pa
@@ -173,13 +194,7 @@ class ArrowIpcReader(DataSourceReader):
         if not partition.path:
             return
         filesystem, _ = _filesystem(self.path)
-        constants = {"_path": partition.path}
-        for part in partition.path.split("/"):
-            if "=" in part:
-                name, _, value = part.partition("=")
-                constants[name] = (
-                    None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
-                )
+        constants = {"_path": partition.path, **_partition_values(partition.path)}
         wanted = set(self.schema.fieldNames())
         with filesystem.open_input_file(partition.path) as stream:
             names = pa.ipc.open_file(stream).schema.names

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterflow.operators.canonical import canonical_rows, union_rows
-from utterflow.operators.profiles import PROFILES
+from utterflow.operators.profiles import PROFILES, profile
 from utterflow.plans.materialize import check_strategy
-from utterflow.schema import PATH, ROW, Source
+from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW, Source
 from utterflow.sources.parquet import split_counts
 
 # Defaults of the sample.
@@ -64,6 +64,21 @@ def exported_rows(
     return rows
 
 
+def analyze(
+    spark: SparkSession,
+    source: Source,
+    name: str,
+    split: str | None = None,
+    sample_size: int | None = DEFAULT_SAMPLE_SIZE,
+) -> DataFrame:
+    """A profile of the sample of one split, by default the source's first default split."""
+    split = split or source.first_split
+    rows = canonical_rows(
+        spark, source, [] if split is None else [split], sample_size=sample_size, provenance=True
+    )
+    return profile(rows, name)
+
+
 def default_policy(sources: list[Source]) -> str:
     """Hash a validation split if any source has none of its own."""
     return "train-val" if any(s.train_only for s in sources) else "preserve"
@@ -155,3 +170,43 @@ def inspect_sources(
         "rows_sampled bigint, available_splits string",
     ).schema
     return union_rows(spark, branches, schema)
+
+
+def inspect_report(
+    spark: SparkSession,
+    sources: Mapping[str, Source] | list[Source],
+    *,
+    split: str | None = None,
+    sample_size: int | None = DEFAULT_SAMPLE_SIZE,
+    preview_rows: int = DEFAULT_PREVIEW_ROWS,
+) -> DataFrame:
+    """``inspect_sources`` with each dataset's column mapping and the first rows of each split.
+
+    ``preview`` is an array of canonical rows in file order; ``preview_rows`` bounds it.
+    """
+    counts = inspect_sources(spark, sources, split=split, sample_size=sample_size)
+    listed = list(sources.values()) if isinstance(sources, Mapping) else sources
+    row = F.struct(*CANONICAL_SCHEMA.fieldNames())
+    branches = []
+    for source in listed:
+        mapping = [F.lit(v) for pair in source.spec.column_mapping().items() for v in pair]
+        for name in [split] if split else source.splits:
+            most = preview_rows if sample_size is None else min(preview_rows, sample_size)
+            head = canonical_rows(spark, source, [name], sample_size=most, provenance=True)
+            placed = F.sort_array(F.collect_list(F.struct(PATH, ROW, row.alias("row"))))
+            branches.append(
+                head.agg(F.transform(placed, lambda p: p["row"]).alias("preview")).select(
+                    F.lit(source.spec.key).alias("dataset_key"),
+                    F.lit(name).alias("source_split"),
+                    F.create_map(*mapping).cast("map<string,string>").alias("column_mapping"),
+                    "preview",
+                )
+            )
+    empty = counts.where(F.lit(False)).select(
+        "dataset_key",
+        "source_split",
+        F.lit(None).cast("map<string,string>").alias("column_mapping"),
+        F.array(F.lit(None).cast(CANONICAL_SCHEMA)).alias("preview"),
+    )
+    details = union_rows(spark, branches, empty.schema)
+    return counts.join(details, ["dataset_key", "source_split"])

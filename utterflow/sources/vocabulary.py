@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from utterflow.plans.storage import durable
+
 # Fixed value: the layout of the report, {"result": {"top_tokens": [[token, count], ...]}}.
 REPORT_SCHEMA = "result struct<top_tokens: array<array<string>>>"
 
@@ -18,8 +20,17 @@ def read_top_tokens(spark: SparkSession, path: str, top_k: int = 500) -> DataFra
     )
 
 
+MOST_TOKENS = 1_000_000  # a report is one JSON object, written by one task
+
+
 def write_top_tokens(frequencies: DataFrame, path: str) -> None:
-    """Writes a top-k ``(token, cnt)`` table in that layout; k bounds its one row."""
+    """Writes a top-k ``(token, cnt)`` table in that layout, at most ``MOST_TOKENS`` of them.
+
+    A larger table is an error: keep it as a table.
+    """
+    frequencies = durable(frequencies)
+    if (n := frequencies.count()) > MOST_TOKENS:
+        raise ValueError(f"{n} tokens are too many for a report; the most is {MOST_TOKENS}")
     pairs = F.collect_list(F.struct(-F.col("cnt"), "token", "cnt"))
     ordered = F.transform(
         F.array_sort(pairs), lambda p: F.array(p["token"], p["cnt"].cast("string"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import os
 import re
 import sys
@@ -12,14 +14,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from utterflow.functions.text import BLANKS  # noqa: E402
+from utterflow.functions.text import BLANKS, blank_to_null, normalize_text  # noqa: E402
 from utterflow.operators import filters, overview, profiles, splits  # noqa: E402
-from utterflow.operators.canonical import canonical_rows, union_sources  # noqa: E402
+from utterflow.operators.canonical import canonical_rows, canonicalize, union_sources  # noqa: E402
 from utterflow.operators.normalized import add_text_metrics, normalized_rows  # noqa: E402
 from utterflow.plans import catalog, materialize  # noqa: E402
-from utterflow.plans.storage import durable, new_folder  # noqa: E402
+from utterflow.plans.storage import durable, new_folder, qualified  # noqa: E402
 from utterflow.schema import CANONICAL_SCHEMA, Source, SourceSpec  # noqa: E402
-from utterflow.sources.parquet import read_rows  # noqa: E402
+from utterflow.sources.parquet import read_rows, scan_columns  # noqa: E402
 from utterflow.sources.vocabulary import read_top_tokens, write_top_tokens  # noqa: E402
 from utterflow.streaming.incremental import materialize_new_files, stream_rows  # noqa: E402
 
@@ -120,14 +122,14 @@ def _docs(spark: SparkSession, sf: str, **options) -> DataFrame:
 
 def prepare_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Keep documents that their own 200 most frequent words cover to a fifth, split, total."""
-    docs = _docs(spark, sf)
+    docs = _docs(spark, sf, provenance=True)
     words = profiles.token_frequency(docs, 200)
     kept = filters.filter_by_vocabulary(docs, words, 0.2)
     return splits.split_summary(splits.assign_split(kept, "train-val-test", 0.1, 0.1))
 
 
 def filter_vocab_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf)
+    docs = _docs(spark, sf, provenance=True)
     words = profiles.token_frequency(docs, 500)
     kept = filters.filter_by_vocabulary(docs, words, 0.5, min_tokens=5)
     return kept.select("record_id", "text")
@@ -174,8 +176,21 @@ def _config_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def filter_vocab_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same words as a literal set and as a table that is joined, with what tells the two."""
+    docs = _docs(spark, sf, provenance=True)
+    words = durable(profiles.token_frequency(docs, 200))
+
+    def kept(form, literal_tokens):
+        rows = filters.filter_by_vocabulary(docs, words, 0.2, literal_tokens=literal_tokens)
+        return rows.select(F.lit(form).alias("form"), "record_id")
+
+    return kept("literal", 200).unionByName(kept("joined", 0))
+
+
 def filter_config_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    kept = filters.filter_by_config_table(_union(spark, sf), _config_table(spark, sf))
+    rows = union_sources(spark, _three(sf), provenance=True)
+    kept = filters.filter_by_config_table(rows, _config_table(spark, sf))
     return kept.select("dataset_key", "record_id", "text")
 
 
@@ -228,6 +243,88 @@ def materialize_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def materialize_append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs that append to one output in both formats; the Arrow side comes back."""
+    out = new_folder(spark, "appended")
+    sources = {s.spec.key: s for s in _three(sf)}
+    for _ in range(2):
+        materialize.materialize(
+            spark, _recipe(spark, sf), sources, out, output_format="both", mode="append"
+        )
+    files = materialize.read_manifest(spark, out).files
+    total = lambda name: files.where(F.col("format") == name).agg(F.sum("rows")).scalar()
+    arrow = spark.read.format("arrow_ipc").load(qualified(spark, f"{out}/arrow"))
+    counted = arrow.groupBy("dataset_key", "split").agg(F.count("*").alias("rows"))
+    return counted.withColumns({"parquet": total("parquet"), "arrow": total("arrow")})
+
+
+def materialize_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The recipe of a manifest, whose vocabulary is a table beside it, run again."""
+    first = _materialized(spark, sf, "parquet")
+    recipe = json.loads(first.totals.first()["recipe"])
+    sources = {s.spec.key: s for s in _three(sf)}
+    again = materialize.materialize(spark, recipe, sources, new_folder(spark, "replayed"))
+    return materialize.reload(spark, again.out_dir)
+
+
+def normalized_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of two splits in the training view."""
+    rows = normalized_rows(spark, _mixed(sf), ["train", "validation"], sample_size=300)
+    return rows.select("source_split", "record_id", "language", "text")
+
+
+def normalize_text_compatibility(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with compatibility characters for plain ones: NFKC gives the plain ones back."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = F.translate(F.col("text"), " 1aT", "\u00a0\u2460\uff41\uff34")
+    return docs.select("doc_id", normalize_text(F.replace(text, F.lit("fi"), F.lit("\ufb01"))).alias("text"))
+
+
+def coerced_durations(spark: SparkSession, sf: str) -> DataFrame:
+    """Durations as text, a part of which is none: they count as missing."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    broken = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("x"), F.col("value")))
+    value = F.coalesce(broken, F.when(F.col("event_id") % 5 == 0, "NaN"), F.col("value").cast("string"))
+    found = overview.duration_summary(events.select(value.alias("duration_seconds")))
+    return found.withColumn("mean_seconds", F.round("mean_seconds", 6))
+
+
+def null_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the texts missing, a third blank: filters drop them, profiles count them."""
+    docs = _docs(spark, sf)
+    number = F.col("record_id").cast("long") % 3
+    texts = docs.withColumn("text", blank_to_null(F.when(number == 1, F.lit(" \u3000")).when(number == 2, F.col("text"))))
+    kept = filters.apply_filter(texts, filters.OverlapFilter())
+    counted = kept.agg(F.count("*")).scalar()
+    return profiles.text_length_profile(texts).withColumn("kept_rows", counted)
+
+
+def audio_struct_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Audio that is a struct with its fields in another order, and one more."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    audio = F.struct(F.col("url").alias("path"), F.lit(1).alias("rate"), F.col("html").cast("binary").alias("bytes"))
+    rows = scan_columns(pages.select("*", audio.alias("audio"), "_metadata"), ["page_id", "html", "audio"])
+    spec = dataclasses.replace(PAGES, audio_column="audio")
+    found = canonicalize(rows, spec, "train", root=sf, include_audio=True)
+    return found.select(
+        "record_id",
+        F.col("audio.path").alias("audio_path"),
+        F.octet_length("audio.bytes").cast("long").alias("audio_bytes"),
+    )
+
+
+def inspect_report(spark: SparkSession, sf: str) -> DataFrame:
+    found = catalog.inspect_report(spark, [*_three(sf), _mixed(sf)], sample_size=700, preview_rows=3)
+    return found.select(
+        "dataset_key",
+        "source_split",
+        "rows_sampled",
+        "available_splits",
+        F.col("column_mapping")["speaker_id"].alias("speaker_column"),
+        F.array_join(F.transform("preview", lambda r: r["record_id"]), ",").alias("preview_ids"),
+    )
+
+
 def vocabulary_report(spark: SparkSession, sf: str) -> DataFrame:
     """Frequencies written as a JSON report, read back as a vocabulary of 300."""
     path = new_folder(spark, "report")
@@ -338,12 +435,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         _docs(s, d), filters.OverlapFilter(min_tokens=50, max_tokens=300)
     ).select("record_id", "text"),
     "filter_vocab_overlap": filter_vocab_overlap,
+    "filter_vocab_sizes": filter_vocab_sizes,
     "filter_vocab_join": filter_vocab_join,
     "filter_vocab_join_salted": filter_vocab_join_salted,
     "filter_config_lookup": filter_config_lookup,
     "filter_config_lookup_join": filter_config_lookup_join,
     "vocabulary_report": vocabulary_report,
     "sample_prefix": lambda s, d: _docs(s, d, sample_size=600).select("record_id", "text"),
+    "materialize_append_roundtrip": materialize_append_roundtrip,
+    "materialize_replay": materialize_replay,
+    "normalized_sample": normalized_sample,
+    "normalize_text_compatibility": normalize_text_compatibility,
+    "coerced_durations": coerced_durations,
+    "null_texts": null_texts,
+    "audio_struct_column": audio_struct_column,
+    "inspect_report": inspect_report,
     "preview": lambda s, d: catalog.preview(s, _conversations(d), "train"),
     "inspect_counts": lambda s, d: catalog.inspect_sources(
         s, [*_three(d), _mixed(d)], sample_size=700
@@ -369,7 +475,7 @@ except ModuleNotFoundError as missing:
         raise
     LLM_QUERIES, LLM_ORACLE = {}, {}
 else:
-    QUERIES |= LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -379,7 +485,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
-    return dict(QUERIES)
+    return QUERIES | LLM_QUERIES
 
 
 # --- the same in SQL ---------------------------------------------------------
@@ -596,6 +702,9 @@ ORACLE: dict[str, str] = {
     "filter_token_bounds": f"""{_WITH_DOCS} SELECT record_id, text FROM docs
  WHERE text IS NOT NULL AND len({_tokens()}) BETWEEN 50 AND 300""",
     "filter_vocab_overlap": _covered(_top("docs", 500), 0.5, 5),
+    "filter_vocab_sizes": f"""SELECT form, record_id FROM ({
+        _covered(_top("docs", 200), 0.2, columns="record_id")
+    }), (VALUES ('literal'), ('joined')) forms(form)""",
     "filter_vocab_join": _OVERLAP_JOINED,
     "filter_vocab_join_salted": _OVERLAP_JOINED,
     "filter_config_lookup": _CONFIGURED,
@@ -604,6 +713,55 @@ ORACLE: dict[str, str] = {
  (ORDER BY cnt DESC, token) - 1 AS INTEGER) AS rank, token FROM ({_top("docs", 300)})""",
     "sample_prefix": f"""{_WITH_DOCS} SELECT record_id, text FROM docs
  ORDER BY CAST(record_id AS BIGINT) LIMIT 600""",
+    "materialize_append_roundtrip": f"""WITH kept AS (SELECT {_CANONICAL_NAMES} FROM ({_DOCS})
+ UNION ALL SELECT {_CANONICAL_NAMES} FROM ({_CONVS}) WHERE len({_tokens()}) BETWEEN 5 AND 60
+ UNION ALL {_EVENTS}),
+ twice AS (SELECT *, {_split_label(0.1, 0.1)} AS split FROM kept, range(2))
+ SELECT dataset_key, split, count(*) AS rows, (SELECT count(*) FROM twice) AS parquet,
+ (SELECT count(*) FROM twice) AS arrow FROM twice GROUP BY dataset_key, split""",
+    "materialize_replay": f"{_SELECTED} SELECT * FROM assigned",
+    "normalized_sample": f"""SELECT 'train' AS source_split,
+ 'mixed:train:' || CAST(doc_id AS VARCHAR) AS record_id, coalesce(nullif(lang, ''), 'und') AS language,
+ trim(regexp_replace(nfc_normalize(text), '{_BLANK_RUN}', ' ', 'g'), ' ') AS text
+ FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 300)
+ UNION ALL SELECT 'validation', 'mixed:validation:' || CAST(i AS VARCHAR), 'und',
+ trim(regexp_replace(nfc_normalize(text), '{_BLANK_RUN}', ' ', 'g'), ' ')
+ FROM {_TURNS} WHERE i < 300""",
+    "normalize_text_compatibility": f"""SELECT doc_id,
+ trim(regexp_replace(nfc_normalize(text), '{_BLANK_RUN}', ' ', 'g'), ' ') AS text FROM documents""",
+    "coerced_durations": """WITH v AS (SELECT CAST(value AS DOUBLE) AS v FROM events
+ WHERE event_id % 3 <> 0 AND event_id % 5 <> 0)
+ SELECT count(*) AS rows_with_duration, min(v) AS min_seconds, median(v) AS median_seconds,
+ round(avg(v), 6) AS mean_seconds, max(v) AS max_seconds FROM v""",
+    "null_texts": f"""{_WITH_DOCS}, n AS (SELECT CASE WHEN CAST(record_id AS BIGINT) % 3 = 2
+ THEN len({_tokens()}) END AS n FROM docs)
+ SELECT count(*) AS rows, count(n) AS count_with_text, min(n) AS min_tokens, max(n) AS max_tokens,
+ round(avg(n), 4) AS mean_tokens, count(n) AS kept_rows FROM n""",
+    "audio_struct_column": """SELECT CAST(page_id AS VARCHAR) AS record_id, url AS audio_path,
+ octet_length(encode(html))::BIGINT AS audio_bytes FROM pages""",
+    "inspect_report": f"""WITH c AS ({_inspected("conversations", "train", "conversations", "train")}
+ UNION ALL {_inspected("documents", "train", "documents", "train")}
+ UNION ALL {_inspected("events", "train", "events", "train")}
+ UNION ALL {_inspected("mixed", "train", "documents", _MIXED_SPLITS)}
+ UNION ALL {_inspected("mixed", "unlabeled", "benchmark", _MIXED_SPLITS)}
+ UNION ALL {_inspected("mixed", "validation", "conversations", _MIXED_SPLITS)}),
+ p AS (SELECT dataset_key, source_split, record_id, i FROM
+ (SELECT 'conversations' AS dataset_key, 'train' AS source_split,
+ {_derived("conversations", "conversations.parquet", "i")} AS record_id, i FROM {_TURNS} WHERE i < 3
+ UNION ALL SELECT 'documents', 'train', CAST(doc_id AS VARCHAR), doc_id FROM documents WHERE doc_id < 3
+ UNION ALL SELECT 'events', 'train', CAST(event_id AS VARCHAR), rn FROM
+ (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events) WHERE rn <= 3
+ UNION ALL SELECT 'mixed', 'train', {_derived("mixed", "documents.parquet", "doc_id")}, doc_id
+ FROM documents WHERE doc_id < 3
+ UNION ALL SELECT 'mixed', 'unlabeled', {_derived("mixed", "benchmark.parquet", "i")}, i
+ FROM {_ITEMS} WHERE i < 3
+ UNION ALL SELECT 'mixed', 'validation', {_derived("mixed", "conversations.parquet", "i")}, i
+ FROM {_TURNS} WHERE i < 3)),
+ g AS (SELECT dataset_key, source_split, string_agg(record_id, ',' ORDER BY i) AS preview_ids
+ FROM p GROUP BY ALL)
+ SELECT dataset_key, source_split, rows_sampled, available_splits,
+ CASE dataset_key WHEN 'documents' THEN 'source' WHEN 'events' THEN 'user_id' ELSE 'role' END
+ AS speaker_column, preview_ids FROM c JOIN g USING (dataset_key, source_split)""",
     "preview": f"""SELECT {_CANONICAL_NAMES} FROM ({
         _CONVS.replace(f" FROM {_TURNS}", f", i FROM {_TURNS}")
     }) ORDER BY i LIMIT 5""",

@@ -108,14 +108,44 @@ def test_large_vocabulary_is_joined(spark, monkeypatch):
     table = spark.createDataFrame(repeated, "token string")
     got = filters.filter_by_vocabulary(rows, table, config.min_overlap_ratio, 2, 40_000)
     assert kept(got) == sorted(str(i) for i, v in enumerate(values) if passes(v, config))
-    assert "BroadcastHashJoin" in plan_of(got)
+    assert "BroadcastHashJoin" in plan_of(got)  # of the keys that pass
 
 
 def test_salted_join_is_neither_broadcast_nor_cross(spark):
     rows = texts(spark, ["a b"])
     table = spark.createDataFrame([("a",)], "token string")
     plan = plan_of(filters.join_overlap(rows, table, 0.5, broadcast_bytes=0))
-    assert "_salt" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("literal_tokens", [0, 1000])
+def test_rows_without_a_key_are_refused_at_every_size(spark, literal_tokens):
+    rows = texts(spark, ["a b"]).drop(ROW)
+    table = spark.createDataFrame([("a",)], "token string")
+    with pytest.raises(ValueError, match="provenance"):
+        filters.filter_by_vocabulary(rows, table, 0.5, literal_tokens=literal_tokens)
+    with pytest.raises(ValueError, match="provenance"):
+        filters.filter_by_config_table(rows, _config_table(spark), literal_tokens)
+    with pytest.raises(ValueError, match="provenance"):
+        filters.join_overlap(rows, table, 0.5)
+    with pytest.raises(ValueError, match="nokey"):
+        filters.filter_by_vocabulary(rows, table, 0.5, key=("nokey",))
+    by_id = filters.filter_by_vocabulary(
+        rows, table, 0.5, key=("record_id",), literal_tokens=literal_tokens
+    )
+    assert by_id.count() == 1
+
+
+def test_joined_rows_stay_where_they_are(spark):
+    """Neither paths nor audio are in an exchange; kept rows are found by a broadcast key."""
+    rows = texts(spark, ["a b", "c"] * 3).withColumn("audio", F.lit(b"sound"))
+    table = spark.createDataFrame([("a",)], "token string")
+    for limit in (filters.BROADCAST_BYTES, 0):
+        got = filters.join_overlap(rows, table, 0.5, broadcast_bytes=limit)
+        assert got.count() == 3
+    plan = plan_of(filters.join_overlap(rows, table, 0.5))
+    assert "Exchange hashpartitioning" not in plan
+    assert plan.count("BroadcastExchange") == 1
 
 
 def test_literal_form_needs_no_shuffle(spark):

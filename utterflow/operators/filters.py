@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from utterflow.functions.text import BLANK_CLASS, lower_tokens, strip_blanks
-from utterflow.operators.parallel import spread
 from utterflow.operators.profiles import exploded_tokens
 from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import PATH, ROW
@@ -24,6 +23,7 @@ LITERAL_TOKENS, LITERAL_BYTES = 100_000, 2 * 1024 * 1024
 # A frequent word may be in every text: its rows are dealt out to this many join
 # keys. What is still uneven then, adaptive execution splits.
 SALTS = 32
+ROW_KEY = ("dataset_key", "source_split", PATH, ROW)
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def keep_condition(config: OverlapFilter | None) -> Column:
 def apply_filter(rows: DataFrame, config: OverlapFilter | None) -> DataFrame:
     if config is None:
         return rows
-    return (spread(rows) if _splits_text(config) else rows).where(keep_condition(config))
+    return rows.where(keep_condition(config))
 
 
 def filters_of(pipeline: Iterable[Mapping[str, Any]]) -> dict[str, OverlapFilter]:
@@ -96,6 +96,11 @@ def filters_of(pipeline: Iterable[Mapping[str, Any]]) -> dict[str, OverlapFilter
         if entry.get("type") != FILTER_TYPE or not entry.get("dataset_key"):
             continue
         limit = entry.get("max_text_tokens")
+        named = entry.get("top_tokens") is not None or entry.get("vocabulary_path")
+        if float(entry.get("min_overlap_ratio", 0.0)) > 0 and not named:
+            raise ValueError(
+                f"the filter of {entry['dataset_key']!r} asks for an overlap but has no vocabulary"
+            )
         found[entry["dataset_key"]] = OverlapFilter(
             vocabulary=tuple(entry.get("top_tokens") or ()),
             min_overlap_ratio=float(entry.get("min_overlap_ratio", 0.0)),
@@ -114,20 +119,36 @@ def apply_filters(rows: DataFrame, configs: Mapping[str, OverlapFilter]) -> Data
         this = F.col("dataset_key") == key
         branch = keep_condition(config)
         keep = F.when(this, branch) if keep is None else keep.when(this, branch)
-    if any(map(_splits_text, configs.values())):
-        rows = spread(rows)
     return rows.where(keep.otherwise(F.lit(True)))
 
 
-def literal_vocabulary(vocabulary: DataFrame) -> tuple[str, ...] | None:
+def literal_vocabulary(
+    vocabulary: DataFrame, most: int = LITERAL_TOKENS
+) -> tuple[str, ...] | None:
     """The ``token`` column as a tuple if it is small enough for the plan, else None.
 
-    At most LITERAL_TOKENS + 1 rows reach the driver.
+    At most ``most`` + 1 rows reach the driver.
     """
-    head = vocabulary.select("token").limit(LITERAL_TOKENS + 1).collect()
+    head = vocabulary.select("token").limit(most + 1).collect()
     found = tuple(r["token"] for r in head if r["token"] is not None)
     size = sum(len(t.encode("utf-8")) for t in found)
-    return found if len(head) <= LITERAL_TOKENS and size <= LITERAL_BYTES else None
+    return found if len(head) <= most and size <= LITERAL_BYTES else None
+
+
+def row_key(rows: DataFrame, key: tuple[str, ...] | None = None) -> tuple[str, ...]:
+    """The columns that tell rows apart: ``key``, or where they came from.
+
+    Filters whose vocabulary is a table need them whatever its size, so that no table that grows
+    turns a filter that works into one that cannot.
+    """
+    wanted = key or ROW_KEY
+    missing = [c for c in wanted if c not in rows.columns]
+    # Rows of one source may lack the first two; place in a file is what counts.
+    if missing and (key or {PATH, ROW} & set(missing)):
+        raise ValueError(
+            f"rows lack {', '.join(missing)}: scan with provenance=True or name a unique key"
+        )
+    return tuple(c for c in wanted if c in rows.columns)
 
 
 def filter_by_vocabulary(
@@ -136,19 +157,24 @@ def filter_by_vocabulary(
     min_overlap_ratio: float,
     min_tokens: int = 1,
     max_tokens: int | None = None,
+    *,
+    key: tuple[str, ...] | None = None,
+    literal_tokens: int | None = None,
 ) -> DataFrame:
     """``apply_filter`` with the vocabulary as a table with a ``token`` column.
 
-    A small one becomes a literal set. A larger one is joined, for which the
-    rows need provenance columns (``provenance=True``).
+    Up to ``literal_tokens`` tokens (LITERAL_TOKENS if None; and LITERAL_BYTES) become a literal
+    set, more are joined; the result is the same. Rows need a unique key either way, see ``row_key``.
     """
+    key = row_key(rows, key)
     config = OverlapFilter((), min_overlap_ratio, min_tokens, max_tokens)
     if min_overlap_ratio > 0:
-        small = literal_vocabulary(vocabulary)
+        # Used for its size and for the filter: both must see the same table.
+        table = durable(vocabulary.select("token").where("token IS NOT NULL").distinct())
+        most = LITERAL_TOKENS if literal_tokens is None else literal_tokens
+        small = literal_vocabulary(table, most)
         if small is None:
-            # Used for its size and for the join: both must see the same table.
-            table = durable(vocabulary.select("token").where("token IS NOT NULL").distinct())
-            return join_overlap(apply_filter(rows, config), table, min_overlap_ratio)
+            return join_overlap(apply_filter(rows, config), table, min_overlap_ratio, key=key)
         config = OverlapFilter(small, min_overlap_ratio, min_tokens, max_tokens)
     return apply_filter(rows, config)
 
@@ -159,19 +185,26 @@ def join_overlap(
     min_overlap_ratio: float | str,
     on: tuple[str, ...] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    key: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Rows whose tokens the (distinct) vocabulary covers to the given share.
 
     For vocabularies too large for the plan. ``on`` names further columns that
     vocabulary and rows must agree in; ``min_overlap_ratio`` may name a column
-    of ``rows``. Only keys and tokens are exploded and joined, never whole rows.
+    of ``rows``. Tokens travel with a 16-byte hash of the row's key and nothing
+    else of the row. The rows themselves stay where they are as long as the
+    keys of those that pass can be broadcast (at most ``broadcast_bytes``);
+    beyond, they are joined by shuffle.
     """
-    # One file may serve several datasets or splits, so place alone is no key.
-    key = [c for c in ("dataset_key", "source_split", PATH, ROW) if c in rows.columns]
+    named = row_key(rows, key)
     per_row = isinstance(min_overlap_ratio, str)
     ratio = F.col(min_overlap_ratio) if per_row else F.lit(float(min_overlap_ratio))
+    # Two hashes of one column order each: equal for different rows once in 2^128.
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in named]
+    key = ["_key_a", "_key_b"]
+    hashes = dict(zip(key, (F.xxhash64(*parts), F.xxhash64(F.lit("b"), *parts[::-1]))))
     carried = list(dict.fromkeys([*key, *on, *([min_overlap_ratio] if per_row else [])]))
-    words = exploded_tokens(rows, *carried)
+    words = exploded_tokens(rows.withColumns(hashes), *carried)
     known = vocabulary.select(*on, "token", F.lit(True).alias("_known"))
     match = [*on, "token"]
     if fits_broadcast(vocabulary, broadcast_bytes, *match):
@@ -189,7 +222,10 @@ def join_overlap(
         .where(F.col("_share") >= ratio)
         .select(*key)
     )
-    return rows.join(passed, key, "left_semi")
+    passed = durable(passed)
+    if fits_broadcast(passed, broadcast_bytes):
+        passed = F.broadcast(passed)
+    return rows.withColumns(hashes).join(passed, key, "left_semi").drop(*key)
 
 
 def filter_by_config_table(
@@ -197,15 +233,19 @@ def filter_by_config_table(
     configs: DataFrame,
     literal_tokens: int = LITERAL_TOKENS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    *,
+    key: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Left lookup of filters kept as a table.
 
     Columns: ``ord, dataset_key, vocabulary array<string>, min_overlap_ratio,
     min_tokens, max_tokens``; of several rows per dataset the highest ``ord``
-    counts, and rows without a match stay. A table small enough for the plan is
-    compiled into it; otherwise vocabularies are joined token by token, for
-    which the rows need provenance columns.
+    counts, and rows without a match stay. A table small enough for the plan
+    (1000 configs, ``literal_tokens`` tokens, LITERAL_BYTES) is compiled into
+    it; otherwise vocabularies are joined token by token, with the same result.
+    Rows need a unique key either way, see ``row_key``.
     """
+    key = row_key(rows, key)
     fields = ["vocabulary", "min_overlap_ratio", "min_tokens", "max_tokens"]
     latest = durable(
         configs.groupBy("dataset_key")
@@ -239,10 +279,12 @@ def filter_by_config_table(
             for r in latest.collect()
         }
         return apply_filters(rows, table)
-    return _join_configs(rows, latest, broadcast_bytes)
+    return _join_configs(rows, latest, broadcast_bytes, key)
 
 
-def _join_configs(rows: DataFrame, latest: DataFrame, broadcast_bytes: int) -> DataFrame:
+def _join_configs(
+    rows: DataFrame, latest: DataFrame, broadcast_bytes: int, key: tuple[str, ...]
+) -> DataFrame:
     settings = latest.select(
         "dataset_key",
         F.struct(
@@ -267,6 +309,6 @@ def _join_configs(rows: DataFrame, latest: DataFrame, broadcast_bytes: int) -> D
     pairs = latest.select("dataset_key", F.explode(F.array_distinct("vocabulary")).alias("token"))
     free = matched.where(F.col("_ratio").isNull())
     tested = matched.where(F.col("_ratio").isNotNull())
-    covered = join_overlap(tested, pairs, "_ratio", ("dataset_key",), broadcast_bytes)
+    covered = join_overlap(tested, pairs, "_ratio", ("dataset_key",), broadcast_bytes, key)
     kept = free.unionByName(covered)
     return kept.select(*rows.columns)

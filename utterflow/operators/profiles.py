@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from utterflow.functions.text import has_text, pieces, token_count
-from utterflow.operators.parallel import spread
 from utterflow.plans.storage import BROADCAST_BYTES, durable, fits_broadcast
 from utterflow.schema import CANONICAL_SCHEMA, PATH, ROW
 
 MISSING_GENDER = "<missing>"  # fixed value
 # How the observed-schema profile names value types.
 TYPE_NAMES = {"string": "str", "double": "float"}
+TEXT_ROOM = 1 << 24
 
 
 def observed_schema(rows: DataFrame) -> DataFrame:
@@ -42,8 +42,7 @@ def observed_schema(rows: DataFrame) -> DataFrame:
 def exploded_tokens(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per lower-cased token. Dropping empty pieces as rows is cheaper
     than building the token array without them."""
-    texts = spread(rows.select(*keep, "text"))
-    return texts.select(*keep, F.explode(pieces(F.lower("text"))).alias("token")).where(
+    return rows.select(*keep, F.explode(pieces(F.lower("text"))).alias("token")).where(
         "token != ''"
     )
 
@@ -63,30 +62,43 @@ def token_frequency(rows: DataFrame, top_k: int = 20, ties: str = "token") -> Da
         return token_counts(rows).orderBy(F.desc("cnt"), "token").limit(top_k)
     if ties != "first_seen":
         raise ValueError(f"ties must be 'token' or 'first_seen', got {ties!r}")
-    # Only tokens whose count reaches the k-th place matter, and of these only
-    # tokens that share their count with another one need a position.
-    counts = durable(token_counts(rows))
-    head = counts.orderBy(F.desc("cnt")).limit(top_k)
-    reaching = counts.where(F.col("cnt") >= head.agg(F.min("cnt")).scalar())
-    shared = reaching.groupBy("cnt").agg(F.count("*").alias("n")).where("n > 1")
-    tied = reaching.join(shared, "cnt", "left_semi").select("token")
-    if fits_broadcast(tied, BROADCAST_BYTES, "token"):
-        tied = F.broadcast(tied)
-    texts = spread(rows.select(PATH, ROW, "text"))
-    placed = texts.select(PATH, ROW, F.posexplode(pieces(F.lower("text"))).alias("pos", "token"))
-    first = (
-        placed.join(tied, "token", "left_semi")
-        .groupBy("token")
-        .agg(F.min(F.struct(PATH, ROW, "pos")).alias("seen"))
+    # One pass: a token's place is one number, which a partial aggregation keeps the least of.
+    places = _placed_texts(rows).select(
+        "_base", F.posexplode(pieces(F.lower("text"))).alias("pos", "token")
     )
-    ranked = reaching.join(first, "token", "left")
-    return ranked.orderBy(F.desc("cnt"), "seen").limit(top_k).select("token", "cnt")
+    counted = places.where("token != ''").groupBy("token").agg(
+        F.count("*").alias("cnt"), F.min(_place(F.col("_base"), F.col("pos"))).alias("seen")
+    )
+    return counted.orderBy(F.desc("cnt"), "seen").limit(top_k).select("token", "cnt")
+
+
+def _placed_texts(rows: DataFrame) -> DataFrame:
+    """``(_base, text)``: numbers for the pieces of texts that go on through (file, row).
+
+    Every row has room for 2^24 pieces, which leaves 2^39 rows; a longer text is an error. Rows per
+    file come from a pass that reads no column. One row per *file* is summed up in order and
+    broadcast, if it fits, else joined.
+    """
+    per_file = durable(rows.groupBy(PATH).agg((F.max(ROW) + 1).alias("rows")))
+    before = Window.orderBy(PATH).rowsBetween(Window.unboundedPreceding, -1)
+    files = per_file.select(
+        PATH, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_start")
+    )
+    if fits_broadcast(per_file, BROADCAST_BYTES, PATH):
+        files = F.broadcast(files)
+    base = (F.col("_start") + F.col(ROW)) * TEXT_ROOM
+    return rows.select(PATH, ROW, "text").join(files, PATH).select(base.alias("_base"), "text")
+
+
+def _place(base: Column, pos: Column) -> Column:
+    too_long = F.raise_error(F.lit(f"a text has more than {TEXT_ROOM} pieces"))
+    return base + F.when(pos < TEXT_ROOM, pos).otherwise(too_long.cast("int"))
 
 
 def text_length_profile(rows: DataFrame) -> DataFrame:
     """Tokens per text over rows that have text; null figures when none has."""
     n = F.when(has_text(F.col("text")), token_count(F.col("text")))
-    return spread(rows.select("text")).select(n.cast("bigint").alias("n")).agg(
+    return rows.select(n.cast("bigint").alias("n")).agg(
         F.count("*").alias("rows"),
         F.count("n").alias("count_with_text"),
         F.min("n").alias("min_tokens"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -20,8 +21,20 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local one only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    """The session's ``spark.checkpoint.dir``, or what ``setCheckpointDir`` has set.
+
+    With neither, a temporary folder in local mode, where one machine sees it all. On a cluster
+    that is an error: executors would write to their own disks.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if set_by_call := context.getCheckpointDir():
+        return set_by_call
+    if re.match(r"local(\[|$)", context.master):
+        return _local_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -40,6 +53,20 @@ def durable(table: DataFrame) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme that Spark takes it to have, for readers that ask no Spark."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return folder.getFileSystem(conf).makeQualified(folder).toString()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it is on; a missing one is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).delete(folder, True)
+
+
 def fits_broadcast(table: DataFrame, limit: int, *text_columns: str) -> bool:
     """Whether a table of strings is at most ``limit`` bytes, by a full count of it."""
     width = F.lit(64)

@@ -329,13 +329,12 @@ _LAST_ID = (1 << 63) - 1
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def _opened(table: pa.Table, length: int, notes: pa.Table | None = None):
-    """The chunk of a table, and the row of each of its documents; without noted later copies."""
+def _opened(table: pa.Table, length: int, notes: pa.Table) -> tuple[Chunk, np.ndarray]:
+    """The chunk of a table without the noted later copies, and the row of each document in it."""
     ids = table["doc_id"].to_numpy()
     order = np.argsort(ids, kind="stable")
-    if notes is not None:
-        copies = notes["bucket"].to_numpy()[notes["kind"].to_numpy() == _COPY]
-        order = order[~np.isin(ids[order], copies)]
+    copies = notes["bucket"].to_numpy()[notes["kind"].to_numpy() == _COPY]
+    order = order[~np.isin(ids[order], copies)]
     texts = table["text"].take(pa.array(order)).to_pylist()
     return Chunk(ids[order], texts, length), order
 
@@ -345,14 +344,11 @@ def _of_kind(notes: pa.Table, kind: int) -> pa.Table:
 
 
 def _left(table: pa.Table, notes: pa.Table, length: int, bits: int):
-    """The chunk without later copies, the rows of its documents, and what is left of it."""
+    """The chunk, the rows of its documents, and what is left of it."""
     own, order = _opened(table, length, notes)
-    every = own if len(order) == table.num_rows else _opened(table, length)[0]
-    values, _ = every.anchors()  # in the order in which they were sent
-    del every
-    repeated = values[collisions.flags_of(_of_kind(notes, _ANCHORS), values, bits)]
-    here, several = own.anchors()
-    return own, order, own.candidates(np.union1d(repeated, here[several]))
+    values, several = own.anchors()
+    elsewhere = collisions.flags_of(_of_kind(notes, _ANCHORS), values, bits)
+    return own, order, own.candidates(values[several | elsewhere])
 
 
 def repeated_strings_removed(
@@ -382,7 +378,8 @@ def repeated_strings_removed(
     n_chunks = max(1, -(-total // chunk_bytes))
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk")
     firsts = sums.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    # A later copy of a whole text is removed whole; its strings need not be compared.
+    # A later copy of a whole text is removed whole. It takes no further part, or it would make
+    # every anchor of the first one a repeated one.
     copies = sums.join(firsts, "digest").where("doc_id > first_id").select(
         chunk,
         F.lit(_COPY).alias("kind"),
@@ -401,8 +398,10 @@ def repeated_strings_removed(
         found = list(collisions.split_buckets(which, values, bits, drop, labels))
         return pa.Table.from_pylist(found, collisions.PACKED_SCHEMA)
 
-    def send_anchors(table: pa.Table) -> pa.Table:
-        values, _ = _opened(table, length)[0].anchors()
+    def send_anchors(table: pa.Table, notes: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return collisions.PACKED_SCHEMA.empty_table()
+        values, _ = _opened(table, length, notes)[0].anchors()
         return blocks(table, values, anchor_bits, drop=anchor_drop)
 
     def send_strings(table: pa.Table, notes: pa.Table) -> pa.Table:
@@ -433,7 +432,7 @@ def repeated_strings_removed(
             "chunk", F.lit(kind).alias("kind"), "bucket", "packed"
         )
 
-    anchors = chunks.applyInArrow(send_anchors, collisions.PACKED)
+    anchors = chunks.cogroup(copies.groupBy("chunk")).applyInArrow(send_anchors, collisions.PACKED)
     notes = copies.unionByName(answers(anchors, _ANCHORS))
     strings = chunks.cogroup(notes.groupBy("chunk")).applyInArrow(send_strings, collisions.PACKED)
     notes = notes.unionByName(answers(strings, _STRINGS))

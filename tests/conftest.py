@@ -70,9 +70,9 @@ def _interviews(path, ids, texts):
         path,
         {
             "id": pa.array(ids, pa.string()),
-            "speaker_id": pa.array([f"spk{i[-1]}" for i in ids], pa.string()),
+            "speaker_id": pa.array([f"voice{i[-1]}" for i in ids], pa.string()),
             "gender": pa.array(["f" if int(i[-1]) % 2 else "m" for i in ids], pa.string()),
-            "language": pa.array(["aka"] * n, pa.string()),
+            "language": pa.array(["gaa"] * n, pa.string()),
             "transcription": pa.array(texts, pa.string()),
             "audio": pa.array([{"bytes": b"x" * 10, "path": None}] * n, AUDIO),
         },
@@ -85,20 +85,20 @@ def corpus(tmp_path_factory):
     root = tmp_path_factory.mktemp("corpus")
     inter = {
         "train": _interviews(
-            root / "interviews/train/0000.parquet", ["wax1", "wax2"], ["hello world", "hello akan"]
+            root / "interviews/train/0000.parquet", ["take-007-1", "take-007-2"], ["morning tide", "morning market"]
         ),
         "validation": _interviews(
-            root / "interviews/validation/0000.parquet", ["wax3"], ["val sample"]
+            root / "interviews/validation/0000.parquet", ["take-007-3"], ["quiet evening"]
         ),
-        "test": _interviews(root / "interviews/test/0000.parquet", ["wax4"], ["test sample"]),
+        "test": _interviews(root / "interviews/test/0000.parquet", ["take-007-4"], ["late bus"]),
         "unlabeled": _interviews(
-            root / "interviews/unlabeled/0000.parquet", ["wax5"], ["unlabeled sample"]
+            root / "interviews/unlabeled/0000.parquet", ["take-007-5"], ["set aside"]
         ),
     }
     news = write(
         root / "news/train/0000.parquet",
         {
-            "corrected_text": pa.array(["ghana english text", "more speech text"]),
+            "corrected_text": pa.array(["harbour prices rose", "rain until noon"]),
             "duration_ss": pa.array([5.5, 2.5], pa.float32()),
             "audio": pa.array([{"bytes": b"y", "path": None}] * 2, AUDIO),
         },
@@ -106,7 +106,7 @@ def corpus(tmp_path_factory):
     phrases = write(
         root / "phrases/train/0000.parquet",
         {
-            "text": pa.array(["twi sample one", "twi sample two"]),
+            "text": pa.array(["first short phrase", "second short phrase"]),
             "audio": pa.array(["a.wav", None], pa.string()),
         },
     )

@@ -21,8 +21,8 @@ def test_mapped_columns(spark, corpus):
     rows = canonical_rows(spark, corpus["interviews"], ["train"]).orderBy("record_id").collect()
     assert [f.name for f in CANONICAL_SCHEMA] == list(rows[0].asDict())
     assert tuple(rows[0]) == (
-        "corpus", "interviews", "train", "interviews", "wax1", "spk1", "f", "aka",
-        "hello world", None,
+        "corpus", "interviews", "train", "interviews", "take-007-1", "voice1", "f", "gaa",
+        "morning tide", None,
     )
 
 
@@ -235,3 +235,27 @@ def test_glob_and_limited_read(spark, tmp_path):
     assert got.columns == ["a"]
     assert sorted(r.a for r in got.collect()) == [0, 1, 2]
     assert read_rows(spark, str(tmp_path / "s-*.parquet"), ["a"]).count() == 6
+
+
+def test_root_is_the_beginning_of_a_path(spark):
+    from utterflow.operators.canonical import seed_path
+
+    paths = ["file:///data/x/0.parquet", "file:/data/x/0.parquet", "file:///mnt/data/x/0.parquet",
+             "s3://data/data/x/0.parquet", "/data/x/0.parquet"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string")
+    cut = [r.s for r in rows.select(seed_path("/data", F.col("p")).alias("s")).collect()]
+    assert cut == ["x/0.parquet", "x/0.parquet", paths[2], "x/0.parquet", "x/0.parquet"]
+    cut = [r.s for r in rows.select(seed_path("file:///data/", F.col("p")).alias("s")).collect()]
+    assert cut == ["x/0.parquet", "x/0.parquet", *paths[2:]]
+    cut = [r.s for r in rows.select(seed_path("s3://data", F.col("p")).alias("s")).collect()]
+    assert cut == [*paths[:3], "data/x/0.parquet", paths[4]]
+
+
+def test_overlapping_paths_are_read_once(spark, tmp_path):
+    for i in range(3):
+        write(tmp_path / f"f{i}.parquet", {"text": pa.array([f"t{i}"])})
+    paths = [f"{tmp_path}/*.parquet", f"{tmp_path}/f1.parquet", f"{tmp_path}/f1.parquet"]
+    source = Source(PHRASES, {"train": paths})
+    assert sorted(r.text for r in canonical_rows(spark, source).collect()) == ["t0", "t1", "t2"]
+    assert [r.rows for r in split_counts(spark, source).collect()] == [3]
+    assert read_rows(spark, paths, ["text"]).count() == 3

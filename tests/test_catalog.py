@@ -53,7 +53,7 @@ def test_draft_recipe(spark, corpus, tmp_path):
 
 def test_preview_and_inspect(spark, corpus):
     head = catalog.preview(spark, corpus["interviews"], "train", 1)
-    assert [r.record_id for r in head.collect()] == ["wax1"]
+    assert [r.record_id for r in head.collect()] == ["take-007-1"]
     found = catalog.inspect_sources(spark, corpus, sample_size=1)
     assert [(r.dataset_key, r.source_split, r.rows_sampled) for r in found.collect()] == [
         ("interviews", "test", 1), ("interviews", "train", 1), ("interviews", "unlabeled", 1),
@@ -62,3 +62,31 @@ def test_preview_and_inspect(spark, corpus):
     one = catalog.inspect_sources(spark, [corpus["news"]], split="absent")
     assert rows_of(one.select("rows_sampled", "available_splits")) == [(0, "train")]
     assert catalog.inspect_sources(spark, []).count() == 0
+
+
+def test_inspect_report_has_mapping_and_preview(spark, corpus):
+    found = catalog.inspect_report(spark, corpus, sample_size=2, preview_rows=1).collect()
+    news = next(r for r in found if r.dataset_key == "news")
+    assert (news.rows_sampled, news.available_splits) == (2, "train")
+    assert news.column_mapping["text"] == "corrected_text"
+    assert [p.text for p in news.preview] == ["harbour prices rose"]
+    assert catalog.inspect_report(spark, []).count() == 0
+
+
+def test_analysis_takes_the_default_split(spark, corpus):
+    import dataclasses
+
+    source = corpus["interviews"]
+    spec = dataclasses.replace(source.spec, default_splits=("absent", "validation"))
+    named = dataclasses.replace(source, spec=spec)
+    assert catalog.analyze(spark, named, "text-length").first().rows == 1
+    assert catalog.analyze(spark, named, "text-length", "train").first().rows == 2
+
+
+def test_train_only_can_be_declared(corpus):
+    import dataclasses
+
+    source = corpus["news"]
+    assert catalog.default_policy([source]) == "train-val"
+    spec = dataclasses.replace(source.spec, train_only=False)
+    assert catalog.default_policy([dataclasses.replace(source, spec=spec)]) == "preserve"

@@ -18,7 +18,7 @@ def expected(record_id, val, test):
     return "validation" if (b - test) / (1.0 - test) < val else "train"
 
 
-IDS = [f"record-{i}" for i in range(3000)] + ["wax1", "wax2", "ünï\u3000 çødé", " x "]
+IDS = [f"record-{i}" for i in range(3000)] + ["take-007-1", "take-007-2", "ünï\u3000 çødé", " x "]
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_split_labels(ids, val, test):
 
 
 def test_known_labels(spark):
-    rows = [("record-1", 0.936177077), ("record-2", 0.117688649), ("wax2", 0.020045442)]
+    rows = [("record-1", 0.936177077), ("record-2", 0.117688649), ("take-007-2", 0.034171007)]
     frame = spark.createDataFrame(rows, "record_id string, b double").select(
         "b",
         hashing.hash_bucket(F.col("record_id")).alias("got"),
@@ -56,7 +56,7 @@ def test_known_labels(spark):
 
 
 def test_policies(spark):
-    frame = spark.createDataFrame([("wax2", "gold")], "record_id string, source_split string")
+    frame = spark.createDataFrame([("take-007-2", "gold")], "record_id string, source_split string")
 
     def label(**strategy):
         return frame.select(hashing.target_split(**strategy)).first()[0]

@@ -13,6 +13,7 @@ from utterflow.operators.filters import OverlapFilter
 from utterflow.operators.splits import assign_split, split_summary, split_totals
 from utterflow.plans import materialize as m
 from utterflow.plans.storage import new_folder
+from utterflow.schema import Source, SourceSpec
 from utterflow.sources.vocabulary import read_top_tokens, write_top_tokens
 
 RECIPE = {
@@ -27,7 +28,7 @@ RECIPE = {
             {
                 "type": "text_frequency_overlap",
                 "dataset_key": "interviews",
-                "top_tokens": ["hello", "world"],
+                "top_tokens": ["morning", "tide"],
                 "min_overlap_ratio": 0.5,
             }
         ],
@@ -57,7 +58,7 @@ def test_end_to_end(spark, corpus, tmp_path, output_format):
     assert (total.rows, total.duration_seconds, total.duration_hours) == (4, 8.0, 0.002222)
     assert json.loads(total.recipe) == RECIPE and total.audio_enabled is False
     back = m.reload(spark, out)
-    assert back.where("split = 'validation'").first().record_id == "wax2"
+    assert back.where("split = 'validation'").first().record_id == "take-007-2"
     assert back.count() == 4
     assert m.reload(spark, out, ["train"]).count() == 3
     listed = {r.file.split("://")[-1].removeprefix("file:") for r in done.files.collect()}
@@ -111,7 +112,7 @@ def test_audio_goes_along_only_when_asked(spark, corpus, tmp_path):
         m.materialize(spark, RECIPE, corpus, out, include_audio=True, output_format=kind)
         back = m.reload(spark, out)
         sounds = {r.record_id: bytes(r.audio["bytes"]) for r in back.collect()}
-        assert sounds["wax1"] == b"x" * 10 and set(sounds.values()) == {b"x" * 10, b"y"}
+        assert sounds["take-007-1"] == b"x" * 10 and set(sounds.values()) == {b"x" * 10, b"y"}
     assert "audio" not in m.select_rows(spark, RECIPE, corpus).columns
 
 
@@ -132,14 +133,14 @@ def test_rebalance_keeps_all_rows(spark, corpus, tmp_path):
 
 
 def test_vocabulary_tables_override_the_recipe(spark, corpus, tmp_path):
-    words = spark.createDataFrame([("akan",)], "token string")
+    words = spark.createDataFrame([("market",)], "token string")
     rows = m.select_rows(
         spark, RECIPE, corpus,
         filters={
             "interviews": m.VocabularyFilter(words, 0.5), "news": OverlapFilter(min_tokens=4)
         },
     )
-    assert [r.record_id for r in rows.collect()] == ["wax2"]
+    assert [r.record_id for r in rows.collect()] == ["take-007-2"]
     assert rows.columns[-1] == "split" and "_path" not in rows.columns
 
 
@@ -198,9 +199,9 @@ def test_summary_and_totals(spark, corpus):
 
 def test_top_token_report(spark, tmp_path):
     path = tmp_path / "report.json"
-    path.write_text(json.dumps({"result": {"top_tokens": [["hello", 10], ["world", 9]]}}, indent=1))
-    assert rows_of(read_top_tokens(spark, str(path), 1)) == [(0, "hello")]
-    assert rows_of(read_top_tokens(spark, str(path))) == [(0, "hello"), (1, "world")]
+    path.write_text(json.dumps({"result": {"top_tokens": [["river", 7], ["stone", 4]]}}, indent=1))
+    assert rows_of(read_top_tokens(spark, str(path), 1)) == [(0, "river")]
+    assert rows_of(read_top_tokens(spark, str(path))) == [(0, "river"), (1, "stone")]
     path.write_text("{}")
     assert rows_of(read_top_tokens(spark, str(path))) == []
     counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 10)], "token string, cnt long")
@@ -208,3 +209,91 @@ def test_top_token_report(spark, tmp_path):
     assert [r.token for r in read_top_tokens(spark, str(tmp_path / "out")).collect()] == [
         "c", "a", "b"
     ]
+
+
+@pytest.mark.parametrize("output_format", ["parquet", "arrow", "both"])
+def test_modes(spark, tmp_path, output_format):
+    rows = spark.createDataFrame([(f"r{i}", "train", 1.0) for i in range(10)],
+                                 "record_id string, split string, duration_seconds double")
+    out = str(tmp_path / "out")
+    write = lambda mode, n=10: m.write_splits(
+        rows.limit(n), out, output_format=output_format, mode=mode
+    )
+
+    def held():
+        wanted = ("parquet", "arrow") if output_format == "both" else (output_format,)
+        found = {"parquet": m._parquet_or_none(spark, out), "arrow": m._arrow_or_none(spark, out)}
+        assert {k for k, v in found.items() if v is not None} == set(wanted)
+        return {found[k].count() for k in wanted}
+
+    write("errorifexists")
+    with pytest.raises(FileExistsError):
+        write("errorifexists")
+    assert held() == {10}
+    write("append")
+    assert held() == {20}
+    write("ignore", 3)
+    assert held() == {20}
+    write("overwrite", 3)
+    assert held() == {3}
+    with pytest.raises(ValueError):
+        write("other")
+
+
+@pytest.mark.parametrize("first,second", [("parquet", "arrow"), ("arrow", "parquet"), ("both", "arrow")])
+def test_format_changes(spark, corpus, tmp_path, first, second):
+    out = str(tmp_path / "out")
+    m.materialize(spark, RECIPE, corpus, out, output_format=first)
+    for mode, error in (("errorifexists", FileExistsError), ("append", ValueError)):
+        with pytest.raises(error):
+            m.materialize(spark, RECIPE, corpus, out, output_format=second, mode=mode)
+    fewer = {**RECIPE, "selected_datasets": RECIPE["selected_datasets"][:1]}
+    m.materialize(spark, fewer, corpus, out, output_format=second, mode="overwrite")
+    assert m.reload(spark, out).count() == 2
+    assert {r.format for r in m.read_manifest(spark, out).files.collect()} == {second}
+
+
+@pytest.mark.parametrize("output_format", ["parquet", "arrow"])
+def test_reload_reads_the_named_splits_and_columns(spark, corpus, tmp_path, output_format):
+    out = str(tmp_path / "out")
+    m.materialize(spark, RECIPE, corpus, out, output_format=output_format)
+    if output_format == "arrow":
+        for path in files_under(f"{out}/arrow/split=train", ".arrow"):
+            os.truncate(path, 0)  # a reader that opens these files fails
+    kept = m.reload(spark, out, ["validation"], ["record_id"])
+    assert rows_of(kept) == [("take-007-2",)]
+    if output_format == "parquet":
+        plan = plan_of(kept)
+        assert "split" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "ReadSchema: struct<record_id:string>" in plan
+
+
+def test_manifest_replays_a_vocabulary_table(spark, corpus, tmp_path):
+    words = spark.createDataFrame([("morning", 0), ("zzz", 1), ("market", 2)], "token string, rank int")
+    plain = {**RECIPE, "filters": {"status": "not_started", "pipeline": []}}
+    config = m.VocabularyFilter(words, 1.0, top_k=2)
+    out = str(tmp_path / "first")
+    m.materialize(spark, plain, corpus, out, filters={"interviews": config})
+    recipe = json.loads(m.read_manifest(spark, out).totals.first().recipe)
+    again = m.materialize(spark, recipe, corpus, str(tmp_path / "again"))
+    ids = lambda folder: sorted(r.record_id for r in m.reload(spark, folder).collect())
+    assert ids(again.out_dir) == ids(out)
+    assert not {"take-007-1", "take-007-2"} & set(ids(out))  # of "morning market" the first two ranks are a half
+
+
+def test_overlap_without_a_vocabulary_is_an_error(spark, corpus):
+    entry = {"type": "text_frequency_overlap", "dataset_key": "news", "min_overlap_ratio": 0.5}
+    recipe = {**RECIPE, "filters": {"status": "configured", "pipeline": [entry]}}
+    with pytest.raises(ValueError, match="no vocabulary"):
+        m.select_rows(spark, recipe, corpus)
+
+
+def test_small_inputs_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "many.parquet")
+    spark.range(200_000).selectExpr("concat('word ', id, ' ', id * 7) AS text").write.parquet(path)
+    source = Source(SourceSpec(key="k", dataset="d", subset="s", text_column="text"), {"train": path})
+    recipe = {"selected_datasets": [{"dataset_key": "k", "selected_splits": ["train"]}],
+              "filters": {"pipeline": [{"type": "text_frequency_overlap", "dataset_key": "k",
+                                        "min_text_tokens": 2}]}}
+    assert "Exchange" not in plan_of(m.select_rows(spark, recipe, {"k": source}))
+

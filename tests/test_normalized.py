@@ -43,7 +43,7 @@ def test_values(spark, tmp_path):
         tmp_path / "a.parquet",
         {
             "id": pa.array(["", " ", None, "x"], pa.string()),
-            "language": pa.array(["", " ", None, "aka"], pa.string()),
+            "language": pa.array(["", " ", None, "gaa"], pa.string()),
             "transcription": pa.array(["ﬁ  ①", None, " a\n b ", ""], pa.string()),
             "gender": pa.array([" f ", None, None, None], pa.string()),
         },
@@ -55,7 +55,7 @@ def test_values(spark, tmp_path):
     assert [r.record_id for r in rows] == [
         "interviews:train:0", " ", "interviews:train:2", "x"
     ]
-    assert [r.language for r in rows] == ["zz", " ", "zz", "aka"]
+    assert [r.language for r in rows] == ["zz", " ", "zz", "gaa"]
     assert [r.text for r in rows] == ["fi 1", "", "a b", ""]
     assert rows[0].gender == " f "  # untouched here
     assert rows[0].text_source_column == "transcription" and rows[0].audio is None

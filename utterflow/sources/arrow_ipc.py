@@ -67,6 +67,11 @@ def _partition_values(path: str) -> dict[str, str | None]:
     }
 
 
+def _wanted(path: str, only: dict[str, list]) -> bool:
+    values = _partition_values(path)
+    return all(name not in values or values[name] in few for name, few in only.items())
+
+
 @dataclass
 class StagedFiles(WriterCommitMessage):
     staging: str = ""
@@ -157,9 +162,15 @@ class ArrowIpcWriter(DataSourceArrowWriter):
     def _drop_staging(self, filesystem, root: str) -> None:
         from pyarrow import fs
 
-        staging = posixpath.join(root, STAGING, self.job)
-        if filesystem.get_file_info(staging).type == fs.FileType.Directory:
-            filesystem.delete_dir(staging)
+        shared = posixpath.join(root, STAGING)
+        own = posixpath.join(shared, self.job)
+        if filesystem.get_file_info(own).type == fs.FileType.Directory:
+            filesystem.delete_dir(own)
+        others = fs.FileSelector(shared, allow_not_found=True)
+        if not filesystem.get_file_info(others) and (
+            filesystem.get_file_info(shared).type == fs.FileType.Directory
+        ):
+            filesystem.delete_dir(shared)
 
 
 @dataclass
@@ -182,12 +193,9 @@ class ArrowIpcReader(DataSourceReader):
 
     def partitions(self) -> list[ArrowFile]:
         filesystem, root = _filesystem(self.path)
-        files = [p for p in _data_files(filesystem, root) if self._wanted(_partition_values(p))]
+        files = [p for p in _data_files(filesystem, root) if _wanted(p, self.only)]
         return [ArrowFile(p) for p in files] or [ArrowFile("")]
 
-    def _wanted(self, values: dict) -> bool:
-        return all(name not in values or values[name] in few for name, few in self.only.items())
-
     def read(self, partition: ArrowFile) -> Iterator:
         import pyarrow as pa
 
@@ -223,6 +231,8 @@ class ArrowIpcSource(DataSource):
 
         filesystem, root = _filesystem(self.options["path"])
         files = _data_files(filesystem, root)
+        few = json.loads(self.options.get("only", "{}"))
+        files = [f for f in files if _wanted(f, few)] or files
         if not files:
             raise FileNotFoundError(f"no Arrow files under {self.options['path']}")
         with filesystem.open_input_file(files[0]) as stream:

@@ -26,6 +26,7 @@ from utterflow.sources.vocabulary import read_top_tokens, write_top_tokens  # no
 from utterflow.streaming.incremental import materialize_new_files, stream_rows  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+PIECES = "utterflow.bench.pieces"
 
 # --- sources: how the test tables map onto canonical rows --------------------
 
@@ -117,19 +118,25 @@ def _docs(spark: SparkSession, sf: str, **options) -> DataFrame:
     return canonical_rows(spark, _documents(sf), **options)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """For the local bench, whose documents are one row group: over all cores if it asks for it."""
+    pieces = rows.sparkSession.conf.get(PIECES, None)
+    return rows.repartition(int(pieces)) if pieces else rows
+
+
 # --- queries -----------------------------------------------------------------
 
 
 def prepare_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Keep documents that their own 200 most frequent words cover to a fifth, split, total."""
-    docs = _docs(spark, sf, provenance=True)
+    docs = _dealt(_docs(spark, sf, provenance=True))
     words = profiles.token_frequency(docs, 200)
     kept = filters.filter_by_vocabulary(docs, words, 0.2)
     return splits.split_summary(splits.assign_split(kept, "train-val-test", 0.1, 0.1))
 
 
 def filter_vocab_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf, provenance=True)
+    docs = _dealt(_docs(spark, sf, provenance=True))
     words = profiles.token_frequency(docs, 500)
     kept = filters.filter_by_vocabulary(docs, words, 0.5, min_tokens=5)
     return kept.select("record_id", "text")
@@ -140,7 +147,7 @@ def _frequent_words(docs: DataFrame) -> DataFrame:
 
 
 def filter_vocab_join(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf, provenance=True)
+    docs = _dealt(_docs(spark, sf, provenance=True))
     kept = filters.join_overlap(docs, _frequent_words(docs), 0.98)
     return kept.select("record_id", "text")
 
@@ -189,7 +196,7 @@ def filter_vocab_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filter_config_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    rows = union_sources(spark, _three(sf), provenance=True)
+    rows = _dealt(union_sources(spark, _three(sf), provenance=True))
     kept = filters.filter_by_config_table(rows, _config_table(spark, sf))
     return kept.select("dataset_key", "record_id", "text")
 
@@ -406,12 +413,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "limited_read": limited_read,
     "audio_struct": audio_struct,
     "observed_schema": lambda s, d: profiles.observed_schema(_union(s, d)),
-    "token_frequency_top20": lambda s, d: profiles.token_frequency(_docs(s, d)),
-    "token_frequency_top50": lambda s, d: profiles.token_frequency(_union(s, d), 50),
+    "token_frequency_top20": lambda s, d: profiles.token_frequency(_dealt(_docs(s, d))),
+    "token_frequency_top50": lambda s, d: profiles.token_frequency(_dealt(_union(s, d)), 50),
     "token_frequency_first_seen": lambda s, d: profiles.token_frequency(
-        _docs(s, d, provenance=True), 300, ties="first_seen"
+        _dealt(_docs(s, d, provenance=True)), 300, ties="first_seen"
     ),
-    "text_length_profile": lambda s, d: profiles.text_length_profile(_union(s, d)),
+    "text_length_profile": lambda s, d: profiles.text_length_profile(_dealt(_union(s, d))),
     "text_metrics": lambda s, d: add_text_metrics(_docs(s, d)).select(
         "record_id", "char_count", "word_count", "is_empty_text"
     ),
@@ -432,7 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "split_totals": lambda s, d: _rounded(splits.split_totals(_union(s, d))),
     "filter_token_bounds": lambda s, d: filters.apply_filter(
-        _docs(s, d), filters.OverlapFilter(min_tokens=50, max_tokens=300)
+        _dealt(_docs(s, d)), filters.OverlapFilter(min_tokens=50, max_tokens=300)
     ).select("record_id", "text"),
     "filter_vocab_overlap": filter_vocab_overlap,
     "filter_vocab_sizes": filter_vocab_sizes,

@@ -44,6 +44,12 @@ def test_policies_share_one_ledger(documents):
     assert kept("v1") == {1, 2}
 
 
+def test_each_word_said_twice_is_a_stutter(documents):
+    text = " ".join(f"w{i} w{i}" for i in range(20))
+    (row,) = quality.judged(quality.ledger(documents([(1, text)]))).collect()
+    assert (row.n_stutters, row.n_repeat_words, row.failures, row.kept) == (20, 0, 128, False)
+
+
 def test_ablations_count_what_only_one_rule_rejects(documents):
     good = " ".join(f"word{i}" for i in range(40))
     rows = [(1, good), (2, "few words"), (3, ""), (4, " ".join(f"w{i}#*" for i in range(40)))]

@@ -35,16 +35,17 @@ def _share(part: str, whole: str) -> Column:
 RULES = (
     Rule(0, "few_words", lambda: F.col("n_words") < 10),
     Rule(1, "repeated_windows", lambda: 100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
-    Rule(2, "symbols", lambda: _share("n_symbols", "n_words") > 0.25),
+    Rule(2, "symbols", lambda: _share("n_symbols", "n_words") > 0.1),
     Rule(3, "repeated_lines", lambda: _share("n_dup_lines", "n_lines") > 0.4),
     Rule(4, "capitals", lambda: _share("n_capital_pairs", "word_chars") > 0.3),
     Rule(5, "exclamations", lambda: _share("n_exclamations", "n_words") > 0.3),
     Rule(6, "word_length", lambda: ~_share("word_chars", "n_words").between(2.0, 14.0)),
+    Rule(7, "stutter", lambda: _share("n_stutters", "n_words") > 0.3),
 )
 BASE_BITS = 0b11
 # A policy is the set of bits that reject a document. Published versions stay as they are.
-POLICIES = {"v1": 0b0001111, "v2": 0b1111111}
-DEFAULT_POLICY = "v2"
+POLICIES = {"v1": 0b00001111, "v2": 0b01111111, "v3": 0b11111111}
+DEFAULT_POLICY = "v3"
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -69,6 +70,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         {
             "n_words": F.size(w).cast("long"),
             "word_chars": F.length(F.array_join(w, "")).cast("long"),
+            "n_stutters": F.size(F.filter(w, lambda v, i: v.eqNullSafe(F.get(F.col(w), i - 1)))).cast("long"),
             "n_lines": F.size(x).cast("long"),
             "n_dup_lines": (F.size(x) - F.size(F.array_distinct(x))).cast("long"),
             g: F.when(

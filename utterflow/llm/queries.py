@@ -118,19 +118,21 @@ _QUALITY = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS
  (SELECT r, unnest(range(i, i + 5)) AS k FROM twice) GROUP BY r),
  m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words,
  length(array_to_string(w, ''))::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+ len(list_filter(range(2, len(w) + 1), lambda k: w[k] = w[k - 1])) AS n_stutters,
  (len(x) - len(list_distinct(x)))::BIGINT AS n_dup_lines, len(x) AS n_lines,
  coalesce(cov.n, 0)::BIGINT AS n_repeat_words, n_bang, n_caps
  FROM d LEFT JOIN cov ON d.r = cov.r),
  f AS (SELECT *, n_words < 10 AS f0, 100 * n_repeat_words > 20 * n_words AS f1,
- n_words > 0 AND n_symbols::DOUBLE / n_words > 0.25 AS f2,
+ n_words > 0 AND n_symbols::DOUBLE / n_words > 0.1 AS f2,
  n_lines > 0 AND n_dup_lines::DOUBLE / n_lines > 0.4 AS f3,
  word_chars > 0 AND n_caps::DOUBLE / word_chars > 0.3 AS f4,
  n_words > 0 AND n_bang::DOUBLE / n_words > 0.3 AS f5,
- n_words = 0 OR word_chars::DOUBLE / n_words NOT BETWEEN 2 AND 14 AS f6 FROM m)
+ n_words = 0 OR word_chars::DOUBLE / n_words NOT BETWEEN 2 AND 14 AS f6,
+ n_words > 0 AND n_stutters::DOUBLE / n_words > 0.3 AS f7 FROM m)
  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
- f0 OR f1 AS base_failed, NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5 OR f6) AS kept,
+ f0 OR f1 AS base_failed, NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5 OR f6 OR f7) AS kept,
  (f0::BIGINT + 2 * f1::BIGINT + 4 * f2::BIGINT + 8 * f3::BIGINT + 16 * f4::BIGINT
- + 32 * f5::BIGINT + 64 * f6::BIGINT)::BIGINT AS failures FROM f"""
+ + 32 * f5::BIGINT + 64 * f6::BIGINT + 128 * f7::BIGINT)::BIGINT AS failures FROM f"""
 
 # What the SQL engine can tell of an archive: payloads, digests and which page is the response.
 _WARC = f"""WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n,

@@ -45,11 +45,12 @@ def durable(table: DataFrame) -> DataFrame:
     """The table written to the shared folder and read back.
 
     It outlives lost executors, is computed once however often it is used, and
-    every use sees the same rows.
+    every use sees the same rows. It goes when the driver's JVM ends.
     """
     spark = table.sparkSession
     path = new_folder(spark, "table")
     table.write.parquet(path)
+    delete_at_end(spark, path)
     return spark.read.schema(table.schema).parquet(path)
 
 
@@ -60,6 +61,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return folder.getFileSystem(conf).makeQualified(folder).toString()
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Deletes a folder when the driver's JVM ends in an orderly way."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).deleteOnExit(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder on whatever file system it is on; a missing one is no error."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

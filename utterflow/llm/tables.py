@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterflow.plans.storage import new_folder
+from utterflow.plans.storage import delete_at_end, delete_folder, new_folder
 
 # The white space that separates words: blank, tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -23,16 +23,16 @@ def words(text: Column) -> Column:
 class Stored:
     """A table written to the shared folder: lineage ends here, lost executors only re-read.
 
-    ``table`` reads it back; ``drop()`` removes the files when no later step needs them.
+    ``table`` reads it back; ``drop()`` removes the files when no later step needs them. What is not
+    dropped goes when the driver's JVM ends.
     """
 
     def __init__(self, table: DataFrame, name: str = "step"):
         self._spark = table.sparkSession
         self.path = new_folder(self._spark, name)
         table.write.parquet(self.path)
+        delete_at_end(self._spark, self.path)
         self.table = self._spark.read.schema(table.schema).parquet(self.path)
 
     def drop(self) -> None:
-        jvm = self._spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self._spark, self.path)

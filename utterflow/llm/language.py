@@ -62,8 +62,13 @@ def script_of(character: str) -> str:
 
 def letters(word: str) -> str:
     """The letters of a word in lower case, composed."""
-    found = "".join(c for c in word.lower() if c.isalpha())
-    return found if found.isascii() else unicodedata.normalize("NFC", found)
+    return "".join(c for c in unicodedata.normalize("NFC", word.lower()) if c.isalpha())
+
+
+@functools.cache
+def _alphabetic() -> np.ndarray:
+    """Which code points are letters."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def trigrams(word: str) -> list[str]:
@@ -95,17 +100,76 @@ class Model:
                 uses[script][k] = n >= SCRIPT_SHARE * sum(own.values())
         return cls(languages, number, np.log(table / table.sum(axis=0)), dict(uses))
 
+    def __post_init__(self):
+        """Trigrams as sorted numbers over the characters that occur in them."""
+        characters = sorted({c for t in self.number for c in t} | {"^", "$"})
+        self._id = np.zeros(0x110000, np.int64)  # 0: in no trigram
+        self._id[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
+        self._base = len(characters) + 1
+        codes = np.array([self._code(*map(ord, t)) for t in self.number], np.int64)
+        by = np.argsort(codes)
+        self._codes = codes[by]
+        self._rows = np.array(list(self.number.values()), np.int64)[by]
+        names = sorted(self.scripts)
+        self._uses = np.array(
+            [np.zeros(len(self.languages), bool), *(self.scripts[n] for n in names)]
+        )
+        self._script = np.zeros(0x110000, np.int8)
+        for k, name in enumerate(names, 1):
+            for low, high in SCRIPTS.get(name, ()):
+                self._script[low : high + 1] = k
+        if "other" in names:
+            known = np.zeros(0x110000, bool)
+            for ranges in SCRIPTS.values():
+                for low, high in ranges:
+                    known[low : high + 1] = True
+            self._script[~known] = names.index("other") + 1
+
+    def _code(self, a, b, c):
+        return (self._id[a] * self._base + self._id[b]) * self._base + self._id[c]
+
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the words' letters by language, and how many letters each has.
+
+        All words at once: their letters end to end, each word in ``^`` and ``$``.
+        """
+        n_languages = len(self.languages)
+        found = np.zeros((len(words), n_languages))
+        text = unicodedata.normalize("NFC", "\n".join(words).lower())
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        word = np.cumsum(points == 10)  # split() leaves no line feed in a word
+        kept = _alphabetic()[points]
+        points, word = points[kept].astype(np.int64), word[kept]
+        sizes = np.bincount(word, minlength=len(words))[: len(words)]
+        some = np.flatnonzero(sizes)
+        if not len(some) or not n_languages:
+            return found, sizes
+        own = sizes[some]
+        ends = np.cumsum(own + 2)
+        padded = np.empty(ends[-1], np.int64)
+        inside = np.ones(len(padded), bool)
+        inside[ends - 1] = inside[ends - own - 2] = False
+        padded[ends - own - 2], padded[ends - 1] = ord("^"), ord("$")
+        padded[inside] = points
+        codes = self._code(padded[:-2], padded[1:-1], padded[2:])
+        # The last two windows of a word run into the next.
+        windows = np.ones(len(codes) + 2, bool)
+        windows[ends - 1] = windows[ends - 2] = False
+        codes = codes[windows[: len(codes)]]
+        rows = np.full(len(codes), len(self.number))
+        if len(self._codes):
+            at = np.minimum(np.searchsorted(self._codes, codes), len(self._codes) - 1)
+            rows = np.where(self._codes[at] == codes, self._rows[at], rows)
+        first = np.cumsum(own) - own  # a word has as many trigrams as letters
+        score = np.add.reduceat(self.weights[rows], first, axis=0)
+        fit = np.maximum.reduceat(self._uses[self._script[points]].astype(np.int8), first, axis=0)
+        foreign = (fit == 0) & fit.any(axis=1, keepdims=True)
+        found[some] = np.where(foreign, score.max(axis=1, keepdims=True) + FOREIGN, score)
+        return found, sizes
+
     def score(self, word: str) -> np.ndarray:
         """Scores of a word's letters by language."""
-        unseen = len(self.number)
-        rows = [self.number.get(t, unseen) for t in trigrams(word)]
-        score = self.weights[rows].sum(axis=0)
-        used = [self.scripts[s] for s in {script_of(c) for c in word} if s in self.scripts]
-        if used:
-            fit = np.logical_or.reduce(used)
-            if fit.any():
-                score = np.where(fit, score, score.max() + FOREIGN)
-        return score
+        return self.scores([word])[0][0]
 
 
 class _Words(dict):
@@ -120,20 +184,19 @@ class _Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.scores = np.zeros((1024, len(self.model.languages)))
-        self.weights = np.zeros(1024, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.weights = np.concatenate([self.weights, np.zeros_like(self.weights)])
-        own = letters(word)
-        if own:
-            self.scores[row] = self.model.score(own)
-        self.weights[row] = len(own)
-        self[word] = row
-        return row
+        self.scores, self.weights = self.model.scores([])
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The row of each word; those not seen before are scored together."""
+        if len(self) > self.LIMIT:
+            self.reset()
+        new = sorted(set(words).difference(self))
+        if new:
+            scores, weights = self.model.scores(new)
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            self.scores = np.concatenate([self.scores, scores])
+            self.weights = np.concatenate([self.weights, weights])
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def viterbi(scores: np.ndarray, rows: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
@@ -196,11 +259,9 @@ class Identifier:
                 low, size = i + 1, 0
 
     def _slice(self, texts: list[str | None]):
-        if len(self.words) > self.words.LIMIT:
-            self.words.reset()
         words = self.words
         split = [(t or "").split() for t in texts]
-        rows = np.array([words[w] for s in split for w in s], np.int64)
+        rows = words.rows([w for s in split for w in s])
         lengths = np.array([len(s) for s in split], np.int64)
         labels = viterbi(words.scores, rows, lengths, self.penalty)
         ends = np.cumsum(lengths)

@@ -94,3 +94,37 @@ def test_no_words_and_no_rows(documents):
 def test_no_python_and_no_broadcast_of_blocks(documents):
     plan = mixing.mixed(documents(corpus(50)))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "strategy=merge" in plan
+
+
+def test_blocks_hold_the_words_of_their_sources(documents):
+    rng = random.Random(8)
+    rows = [
+        (i if i % 9 else None, "\n ".join(f"{i}.{k}" for k in range(rng.choice([0, 1, 7, 16, 50]))), "en", rng.choice("ab"), 0)
+        for i in range(60)
+    ]
+    options = {"block_words": 16, "shard_slots": 32}
+    blocks = mixing.mixed_blocks(documents(rows), **options).collect()
+    assert len({(b.shard, b.slot) for b in blocks}) == len(blocks)
+    assert len({b.shard for b in blocks}) > 1 and all(0 <= b.slot < 32 for b in blocks)
+    source = {w: r[3] for r in rows for w in r[1].split()}
+    size = {r[1].split()[0].split(".")[0]: len(r[1].split()) for r in rows if r[1]}
+    times, by_block, taken = {}, {}, {}
+    for b in blocks:
+        own = b.text.split(" ")
+        assert len(own) == sum(p.n_words for p in b.pieces) <= 16
+        assert {source[w] for w in own} == {b.source}
+        assert by_block.setdefault((b.source, b.block), own) == own
+        for w, follower in zip(own, own[1:]):  # a text runs on, or another begins
+            (i, k), (j, m) = w.split("."), follower.split(".")
+            assert (i == j and int(m) == int(k) + 1) or (int(k) == size[i] - 1 and m == "0")
+        for w in own:
+            times[w] = times.get(w, 0) + 1
+            taken[w.split(".")[0]] = taken.get(w.split(".")[0], 0) + 1
+    assert max(times.values()) <= 3
+    order = [(b.shard, b.slot) for b in blocks]
+    for shard in {s for s, _ in order}:
+        own = [t for s, t in order if s == shard]
+        assert own == sorted(own)
+    counted = mixing.mixed(documents(rows), **options).collect()
+    expected = sorted((len(r[1].split()), taken.get(str(i), 0)) for i, r in enumerate(rows))
+    assert sorted((r.size, r.taken) for r in counted) == expected

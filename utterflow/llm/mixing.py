@@ -6,7 +6,9 @@
    close to the target.
 3. The slots of a source are numbered through all shards. Slot j takes block ``perm(j mod n)`` in
    pass ``j div n``; ``perm`` is a keyed Feistel permutation of the source's n block numbers.
-4. Blocks and slots are joined by block number.
+4. Texts are cut into pieces where blocks end. Pieces are gathered by block and joined with the
+   slots by block number, which gives the mixed text; within a shard the slots of all sources are
+   permuted. What the mix takes of a document is counted from these blocks.
 
 A block is taken at most ``cap`` times, and so is every word of every document. All of it is
 DataFrame functions; prefix sums go through buckets, so no task sees a whole source.
@@ -89,82 +91,161 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, size)``: the number of words of every text."""
-    return docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
-
-
-def mixed(
-    docs: DataFrame,
-    block_words: int = 128,
-    shard_slots: int = 8192,
-    cap: int = 3,
-    seed: int = 17,
-) -> DataFrame:
-    """How many words of each document the mix takes.
-
-    Returns ``doc_id, size, source_size, target, taken``; one row per row of ``docs``, of which
-    ``doc_id, source, text`` are read. Documents without words take none; rows with equal ids are
-    laid end to end like any others.
-    """
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
-    sized = Stored(sized_documents(docs).withColumn("bucket", bucket), "sizes").table
-    of_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    sources = Stored(
-        source_targets(of_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")))
-        .withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
-        .withColumn(
-            # A short last block makes the average block of a source smaller.
-            "wanted",
-            F.when(
-                F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")
-            ).otherwise(0.0),
-        ),
-        "sources",
-    ).table
-    times = _times(sources, shard_slots, cap, seed)
-
-    by_bucket = Window.partitionBy("source").orderBy("bucket")
-    starts = of_bucket.withColumn(
-        "bucket_start", F.sum("bucket_size").over(by_bucket) - F.col("bucket_size")
-    ).join(
-        sources.select(F.col("source").alias("s"), "source_id", "source_size", "target"),
-        F.col("source").eqNullSafe(F.col("s")),
-    )
-    starts = starts.select(
-        F.col("source").alias("s"),
-        F.col("bucket").alias("b"),
-        "bucket_start",
-        "source_id",
-        "source_size",
-        "target",
+    """``(doc_id, source, text, size, digest, bucket)``: the words of every text, joined by blanks."""
+    own = words(F.col("text"))
+    # The digest spreads rows without an id, and orders rows with equal ids by their words.
+    return (
+        docs.select("doc_id", "source", F.array_join(own, " ").alias("text"))
+        .withColumns(
+            {
+                "size": F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " "))).cast("long"),
+                "digest": F.xxhash64("text"),
+            }
+        )
+        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(BUCKETS)).cast("int"))
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size")
+
+
+class Mix:
+    """A mix of ``docs``, of which ``doc_id, source, text`` are read.
+
+    ``blocks`` is the mixed text. ``placed`` has every row of ``docs`` with its place in its source.
+    """
+
+    def __init__(
+        self,
+        docs: DataFrame,
+        block_words: int = 128,
+        shard_slots: int = 8192,
+        cap: int = 3,
+        seed: int = 17,
+    ):
+        texts = sized_documents(docs)
+        sized = Stored(texts.drop("text"), "sizes").table
+        of_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+        sizes = of_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
+        sources = Stored(
+            source_targets(sizes)
+            .withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
+            .withColumn(
+                # A short last block makes the average block of a source smaller.
+                "wanted",
+                F.when(
+                    F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")
+                ).otherwise(0.0),
+            ),
+            "sources",
+        ).table
+        by_bucket = Window.partitionBy("source").orderBy("bucket")
+        starts = of_bucket.withColumn(
+            "bucket_start", F.sum("bucket_size").over(by_bucket) - F.col("bucket_size")
+        ).join(
+            sources.select(F.col("source").alias("s"), "source_id", "source_size", "target"),
+            F.col("source").eqNullSafe(F.col("s")),
+        )
+        starts = Stored(
+            starts.select(
+                F.col("source").alias("s"),
+                F.col("bucket").alias("b"),
+                "bucket_start",
+                "source_id",
+                "source_size",
+                "target",
+            ),
+            "starts",
+        ).table
+        self.placed = _placed(sized, starts)
+        pieces = _pieces(_placed(texts, starts), block_words)
+        held = pieces.groupBy("source_id", "block").agg(
+            F.array_sort(F.collect_list("piece")).alias("pieces"), F.first("source").alias("source")
+        )
+        # Spark takes the blocks for as few as the sources that they are made from: without the
+        # hint it would broadcast the slots.
+        slots = _slots(sources, shard_slots, cap, seed).hint("merge")
+        mixed_ = held.join(slots, ["source_id", "block"]).select(
+            "shard",
+            "slot",
+            "source",
+            "source_id",
+            "block",
+            F.array_join(F.transform("pieces", lambda p: p["text"]), " ").alias("text"),
+            F.transform("pieces", lambda p: p.dropFields("text")).alias("pieces"),
+        )
+        self.blocks = Stored(mixed_, "blocks").table
+
+    def taken(self) -> DataFrame:
+        """``doc_id, size, source_size, target, taken`` per row, counted from ``blocks``."""
+        piece = self.blocks.select("source_id", F.explode("pieces").alias("p"))
+        sums = piece.groupBy("source_id", F.col("p.start").alias("at")).agg(
+            F.sum("p.n_words").alias("taken")
+        )
+        # Rows with words have a place of their own; those without have none.
+        rows = self.placed.withColumn("at", F.when(F.col("size") > 0, F.col("start")))
+        return rows.join(sums.hint("merge"), ["source_id", "at"], "left").select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        )
+
+
+def mixed_blocks(docs: DataFrame, **options: int) -> DataFrame:
+    """The mixed text: a row per filled slot, each shard in one task and in the order of its slots.
+
+    Columns ``shard, slot, source, source_id, block, text, pieces``: ``text`` has the words of the
+    block, joined by blanks; ``pieces`` says from which rows they are, as ``start`` (of the row in
+    its source), ``doc_id`` and ``n_words``. Options are those of ``Mix``.
+    """
+    blocks = Mix(docs, **options).blocks
+    return blocks.repartition("shard").sortWithinPartitions("shard", "slot")
+
+
+def mixed(docs: DataFrame, **options: int) -> DataFrame:
+    """How many words of each document the mix takes, counted from the mixed blocks.
+
+    Returns ``doc_id, size, source_size, target, taken``; one row per row of ``docs``. Documents
+    without words take none; rows with equal ids are laid end to end like any others. Options are
+    those of ``Mix``.
+    """
+    return Mix(docs, **options).taken()
+
+
+def _placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """Rows of ``sized_documents`` with ``start``, the place of their first word in the source."""
+    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size", "digest")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return (
+        rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
         .withColumn("start", F.col("bucket_start") + F.col("before"))
     )
-    first = F.floor(F.col("start") / block_words).cast("long")
-    last = F.floor((F.col("start") + F.col("size") - 1) / block_words).cast("long")
-    keys = ["doc_id", "source_id", "start", "size", "source_size", "target"]
-    # A document without words still has one piece, of no words.
-    pieces = placed.select(
-        *keys, F.explode(F.sequence(first, F.greatest(first, last))).alias("block")
-    )
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - (
-        F.greatest(F.col("start"), F.col("block") * block_words)
+
+
+def _pieces(placed: DataFrame, block_words: int) -> DataFrame:
+    """``(source_id, source, block, piece)``: the words of each text, cut where blocks end."""
+    start, end = F.col("start"), F.col("start") + F.col("size")
+    first = F.floor(start / block_words).cast("long")
+    last = F.floor((end - 1) / block_words).cast("long")
+
+    def cut(own: Column, block: Column) -> Column:
+        low = F.greatest(start, block * block_words)
+        n = (F.least(end, (block + 1) * block_words) - low).cast("int")
+        text = F.array_join(F.slice(own, (low - start + 1).cast("int"), n), " ")
+        piece = F.struct(
+            start.alias("start"), F.col("doc_id").alias("doc_id"), n.cast("long").alias("n_words"),
+            text.alias("text"),
+        )
+        return F.struct(block.alias("block"), piece.alias("piece"))
+
+    # As the variable of a function the words are split once per text, not once per block.
+    cuts = F.transform(
+        F.array(F.split("text", " ")),
+        lambda own: F.transform(F.sequence(first, last), lambda block: cut(own, block)),
     )
-    # Spark takes the blocks for as few as the sources that they are made from: without the hint
-    # it would broadcast them.
-    found = pieces.join(times.hint("merge"), ["source_id", "block"], "left")
-    return found.groupBy(*keys).agg(
-        F.sum(overlap * F.coalesce(F.col("times"), F.lit(0))).cast("long").alias("taken"),
-        # Rows that agree in all keys, which only documents without words can.
-        (F.count(F.lit(1)) / F.max(F.greatest(last - first, F.lit(0)) + 1)).cast("long").alias("n"),
-    ).select(
-        "doc_id", "size", "source_size", "target", "taken", F.explode(F.sequence(F.lit(1), "n"))
-    ).drop("col")
+    return placed.where("size > 0").select(
+        "source_id", "source", F.explode(F.flatten(cuts)).alias("c")
+    ).select("source_id", "source", "c.block", "c.piece")
 
 
 def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
@@ -197,21 +278,31 @@ def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     )
 
 
-def _times(sources: DataFrame, shard_slots: int, cap: int, seed: int) -> DataFrame:
-    """``(source_id, block, times)``: how often each block is taken."""
-    counts = shard_counts(sources, shard_slots, seed).where("slots > 0 AND blocks > 0")
+def _slots(sources: DataFrame, shard_slots: int, cap: int, seed: int) -> DataFrame:
+    """``(source_id, block, shard, slot)``: the block in each slot; sources are mixed in a shard."""
+    counts = shard_counts(sources, shard_slots, seed)
+    in_shard = Window.partitionBy("shard")
+    upto = in_shard.orderBy("source_id").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumns(
+        {
+            "place": F.sum("slots").over(upto) - F.col("slots"),
+            "own": F.sum("slots").over(in_shard),
+        }
+    ).where("slots > 0 AND blocks > 0")
     # A few rows by now; spread over tasks before each becomes thousands of slots.
     n_tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = counts.repartition(n_tasks, "source_id", "shard")
     slots = counts.select(
         "source_id",
         "blocks",
+        "shard",
+        "own",
+        (F.col("place") - F.col("first_slot")).alias("shift"),
         F.explode(
             F.sequence(F.col("first_slot"), F.col("first_slot") + F.col("slots") - 1)
-        ).alias("slot"),
-    ).where(F.col("slot") < F.col("blocks") * cap)  # rounding may draw a slot beyond the cap
-    key = F.xxhash64(F.lit(seed), "source_id", F.floor(F.col("slot") / F.col("blocks")))
-    block = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), key)
-    return slots.groupBy("source_id", block.alias("block")).agg(
-        F.count(F.lit(1)).alias("times")
-    )
+        ).alias("nth"),
+    ).where(F.col("nth") < F.col("blocks") * cap)  # rounding may draw a slot beyond the cap
+    key = F.xxhash64(F.lit(seed), "source_id", F.floor(F.col("nth") / F.col("blocks")))
+    block = permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), key)
+    slot = permuted(F.col("nth") + F.col("shift"), F.col("own"), F.xxhash64(F.lit(seed), "shard"))
+    return slots.select("source_id", block.alias("block"), "shard", slot.alias("slot"))

@@ -65,3 +65,19 @@ def test_rows_and_columns(spark):
 def test_a_very_long_page():
     page = "<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>"
     assert main_text(page).count("\n") == 19_999
+
+
+BODY = f"<div><p>{LONG}<p>{LONG}<p>{LONG}</div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><div><p>A lead of some words.</div>{BODY}</body>", ["A lead of some words."] + [LONG] * 3),
+        (f"<body>{BODY}<section><p>An ending of some words.</section></body>", [LONG] * 3 + ["An ending of some words."]),
+        (f"<body>{BODY}<article><p>A teaser of a card.</article></body>", [LONG] * 3 + ["A teaser of a card."]),
+        (f"<body><nav>menu</nav><main>{BODY}</main><div><p>A few words.</div></body>", [LONG] * 3),
+    ],
+)
+def test_content_in_several_sections_stays(page, text):
+    assert main_text(page) == "\n".join(text)

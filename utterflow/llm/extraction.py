@@ -3,9 +3,10 @@
 A page streams through the standard library's parser. Its events make lines (one per block of text)
 with the number of characters and tags of each and the sectioning elements around it. The ratio of
 text to tags per line is smoothed by a Gaussian, and lines above a threshold (the standard deviation
-of the smoothed ratios, limited to half their mean) are content. Content lines choose regions: the
-sectioning element that holds most of the content, and of it all lines. So short paragraphs between
-long ones stay, and what the page declares as menu, footer, notice and the like goes.
+of the smoothed ratios, limited to half their mean) are content. Content lines choose the region:
+``article`` and ``main`` elements if at least half of the content is in them, else the innermost
+section around all content lines; and of it all lines. So short paragraphs between long ones stay,
+and what the page declares as menu, footer, notice and the like goes.
 """
 
 from __future__ import annotations
@@ -171,20 +172,19 @@ def main_text(html: str | None) -> str:
     lengths = np.array([len(text) for _, text in lines], float)
     ratios = smoothed(lengths / np.array([line.tags for line, _ in lines]))
     content = ratios >= min(ratios.std(), ratios.mean() / 2)
-    # Content by section, counted for all sections around a line.
-    held: dict[int, float] = {}
-    for (line, _), length, good in zip(lines, lengths, content):
-        for section in line.sections:
-            held[section] = held.get(section, 0.0) + length * good
     names = page.section_names
-    chosen = {s for s, n in held.items() if n and names[s] in ("article", "main")}
-    if not chosen and held:
-        # The innermost section with nearly all of the content.
-        most = max(held.values())
-        chosen = {max(s for s, n in held.items() if n >= 0.8 * most)}
-    return "\n".join(
-        text for line, text in lines if not chosen or not chosen.isdisjoint(line.sections)
-    )
+    named = np.array([any(names[s] in ("article", "main") for s in line.sections) for line, _ in lines])
+    weight = lengths * content
+    if weight.any() and 2 * weight[named].sum() >= weight.sum():
+        return "\n".join(text for (_, text), inside in zip(lines, named) if inside)
+    # The innermost section around all content: what the first and the last path have in common.
+    paths = [line.sections for (line, _), good in zip(lines, content) if good] or [(0,)]
+    around = 0
+    for section, other in zip(min(paths), max(paths)):
+        if section != other:
+            break
+        around = section
+    return "\n".join(text for line, text in lines if around in line.sections)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -81,3 +81,22 @@ def test_empty_table(documents):
 def test_no_python_and_no_shuffle(documents, step):
     plan = getattr(quality, step)(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_scripts_without_blanks_have_no_word_length(documents):
+    chinese = " ".join(f"这是一个没有空格的句子它的长度超过十四个字{c}。" for c in "甲乙丙丁戊己庚辛壬癸子丑")
+    thai = " ".join(f"ประโยคภาษาไทยไม่มีช่องว่างระหว่างคำ{c}" for c in "กขคงจฉชซญดตถ")
+    japanese = " ".join(f"これは空白のない日本語の文章でとても長い{c}。" for c in "あいうえおかきくけこさし")
+    latin = " ".join(f"{c}" * 20 for c in "abcdefghijkl")
+    rows = quality.judged(quality.ledger(documents([(1, chinese), (2, thai), (3, japanese), (4, latin)])))
+    assert {r.doc_id: (r.kept, r.failures) for r in rows.collect()} == {
+        1: (True, 0), 2: (True, 0), 3: (True, 0), 4: (False, 64)
+    }
+
+
+def test_published_policies_have_their_threshold_of_symbols(documents):
+    some = " ".join(f"word{i}" + "#" * (i % 5 == 0) for i in range(40))
+    many = " ".join(f"word{i}" + "#" * (i % 3 == 0) for i in range(40))
+    ledger = quality.ledger(documents([(1, some), (2, many)]))
+    kept = lambda p: {r.doc_id for r in quality.judged(ledger, p).where("kept").collect()}
+    assert (kept("v1"), kept("v2"), kept("v3")) == ({1}, {1}, set())

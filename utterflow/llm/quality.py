@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 from utterflow.llm.tables import words
 
 WINDOW = 5
+# Letters of scripts that put no blanks between words: Thai, Lao, Tibetan, Burmese, Khmer, kana and
+# Han. The outer range comes first, so that other letters are told by one comparison.
+UNSPACED = (
+    r"[\x{0E00}-\x{323AF}&&[\x{0E01}-\x{0E4E}\x{0E81}-\x{0ECE}\x{0EDC}-\x{0EDF}\x{0F40}-\x{0FBC}"
+    r"\x{1000}-\x{103F}\x{1050}-\x{108F}\x{1780}-\x{17D3}\x{3005}-\x{3007}\x{3041}-\x{30FF}\x{31F0}-\x{31FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{A9E0}-\x{A9FE}\x{AA60}-\x{AA7F}\x{F900}-\x{FAFF}"
+    r"\x{FF66}-\x{FF9D}\x{20000}-\x{323AF}]]"
+)
+# From this share of the characters on, words are not told apart by blanks.
+UNSPACED_SHARE = 0.2
 
 
 @dataclass(frozen=True)
@@ -39,12 +49,19 @@ RULES = (
     Rule(3, "repeated_lines", lambda: _share("n_dup_lines", "n_lines") > 0.4),
     Rule(4, "capitals", lambda: _share("n_capital_pairs", "word_chars") > 0.3),
     Rule(5, "exclamations", lambda: _share("n_exclamations", "n_words") > 0.3),
-    Rule(6, "word_length", lambda: ~_share("word_chars", "n_words").between(2.0, 14.0)),
+    Rule(
+        6,
+        "word_length",
+        lambda: ~_share("word_chars", "n_words").between(2.0, 14.0)
+        & (_share("n_unspaced", "word_chars") < UNSPACED_SHARE),
+    ),
     Rule(7, "stutter", lambda: _share("n_stutters", "n_words") > 0.3),
+    # The symbols rule as v1 and v2 were published with; bit 2 was lowered to 0.1 after them.
+    Rule(8, "many_symbols", lambda: _share("n_symbols", "n_words") > 0.25),
 )
 BASE_BITS = 0b11
 # A policy is the set of bits that reject a document. Published versions stay as they are.
-POLICIES = {"v1": 0b00001111, "v2": 0b01111111, "v3": 0b11111111}
+POLICIES = {"v1": 0b100001011, "v2": 0b101111011, "v3": 0b011111111}
 DEFAULT_POLICY = "v3"
 
 
@@ -62,6 +79,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
             w: words(F.col(text)),
             x: F.filter(F.split(source, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")),
             "n_symbols": F.regexp_count(source, F.lit("[#*$%&|<>]")).cast("long"),
+            "n_unspaced": F.regexp_count(source, F.lit(UNSPACED)).cast("long"),
             "n_exclamations": F.regexp_count(source, F.lit("!")).cast("long"),
             "n_capital_pairs": F.regexp_count(source, F.lit("[A-ZÀ-ÖØ-Þ]{2}")).cast("long"),
         }

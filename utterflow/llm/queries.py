@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from utterflow.llm import (
     decontamination,
@@ -68,7 +69,8 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "kept",
-        "failures",
+        # Bits of other policies are not part of this result.
+        F.col("failures").bitwiseAND(F.lit(quality.POLICIES[quality.DEFAULT_POLICY])).alias("failures"),
     )
 
 

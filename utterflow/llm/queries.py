@@ -12,9 +12,12 @@ from utterflow.llm import (
     extraction,
     language,
     mixing,
+    prefix_trie,
     quality,
     secret_scan,
+    sharding,
     simhash,
+    spelling,
     suffix_dedup,
     url_filter,
     warc,
@@ -78,6 +81,18 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf, "conversations")).drop("tour_enter", "tour_exit")
+
+
+def op12_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.sharded(_table(spark, sf, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_quality,
         op10_mixing,
+        op11_prefix_trie,
+        op12_sharding,
+        op13_spelling,
     )
 }
 

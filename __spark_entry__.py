@@ -274,6 +274,22 @@ def materialize_replay(spark: SparkSession, sf: str) -> DataFrame:
     return materialize.reload(spark, again.out_dir)
 
 
+def materialize_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Reload after three runs into one folder: the first, its recipe replayed in place with
+    ``overwrite`` (version 2, its own copy of the vocabulary), and an append that breaks off after
+    writing its files, before its manifest. Only the files of version 2 are read."""
+    first = _materialized(spark, sf, "parquet")
+    out = first.out_dir
+    recipe = json.loads(first.totals.first()["recipe"])
+    sources = {s.spec.key: s for s in _three(sf)}
+    materialize.materialize(
+        spark, recipe, sources, out, mode="overwrite", max_rows_per_file=5000
+    )
+    broken = materialize.select_rows(spark, recipe, sources)
+    materialize.write_files(broken, out, {"parquet"}, 5000, False)
+    return materialize.reload(spark, out)
+
+
 def normalized_sample(spark: SparkSession, sf: str) -> DataFrame:
     """The first rows of two splits in the training view."""
     rows = normalized_rows(spark, _mixed(sf), ["train", "validation"], sample_size=300)
@@ -451,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_prefix": lambda s, d: _docs(s, d, sample_size=600).select("record_id", "text"),
     "materialize_append_roundtrip": materialize_append_roundtrip,
     "materialize_replay": materialize_replay,
+    "materialize_versions": materialize_versions,
     "normalized_sample": normalized_sample,
     "normalize_text_compatibility": normalize_text_compatibility,
     "coerced_durations": coerced_durations,
@@ -727,6 +744,7 @@ ORACLE: dict[str, str] = {
  SELECT dataset_key, split, count(*) AS rows, (SELECT count(*) FROM twice) AS parquet,
  (SELECT count(*) FROM twice) AS arrow FROM twice GROUP BY dataset_key, split""",
     "materialize_replay": f"{_SELECTED} SELECT * FROM assigned",
+    "materialize_versions": f"{_SELECTED} SELECT * FROM assigned",
     "normalized_sample": f"""SELECT 'train' AS source_split,
  'mixed:train:' || CAST(doc_id AS VARCHAR) AS record_id, coalesce(nullif(lang, ''), 'und') AS language,
  trim(regexp_replace(nfc_normalize(text), '{_BLANK_RUN}', ' ', 'g'), ' ') AS text

@@ -297,3 +297,55 @@ def test_small_inputs_are_not_shuffled(spark, tmp_path):
                                         "min_text_tokens": 2}]}}
     assert "Exchange" not in plan_of(m.select_rows(spark, recipe, {"k": source}))
 
+
+
+def test_reload_reads_only_what_the_manifest_lists(spark, corpus, tmp_path):
+    out = str(tmp_path / "out")
+    done = m.materialize(spark, RECIPE, corpus, out)
+    listed = done.totals.first().rows
+    # An append that breaks off after its files, before its manifest.
+    rows = m.select_rows(spark, RECIPE, corpus)
+    assert m.write_files(rows, out, {"parquet"}, 100, False)
+    assert m.versions(spark, out) == [1]
+    assert m.reload(spark, out).count() == listed
+    assert m._reload_folder(spark, out, None, None).count() == 2 * listed
+
+
+@pytest.mark.parametrize("output_format", ["parquet", "arrow"])
+def test_versions_append_and_overwrite(spark, corpus, tmp_path, output_format):
+    out = str(tmp_path / "out")
+    fewer = {**RECIPE, "selected_datasets": RECIPE["selected_datasets"][:1]}
+    first = m.materialize(spark, RECIPE, corpus, out, output_format=output_format).totals.first().rows
+    m.materialize(spark, RECIPE, corpus, out, output_format=output_format, mode="append")
+    assert m.reload(spark, out).count() == 2 * first
+    m.materialize(spark, fewer, corpus, out, output_format=output_format, mode="overwrite")
+    small = m.reload(spark, out).count()
+    assert 0 < small < first
+    assert m.versions(spark, out) == [1, 2, 3]
+    assert m.read_manifest(spark, out, 2).totals.first().rows == 2 * first
+    assert m.read_manifest(spark, out).totals.first().rows == small
+    assert m.reload(spark, out, ["train"]).count() <= small
+
+
+def test_replay_in_place_twice(spark, corpus, tmp_path):
+    words = spark.createDataFrame([("morning", 0), ("zzz", 1), ("market", 2)], "token string, rank int")
+    plain = {**RECIPE, "filters": {"status": "not_started", "pipeline": []}}
+    out = str(tmp_path / "out")
+    m.materialize(spark, plain, corpus, out, filters={"interviews": m.VocabularyFilter(words, 1.0, top_k=2)})
+    ids = lambda: sorted(r.record_id for r in m.reload(spark, out).collect())
+    first = ids()
+    for version in (2, 3):
+        recipe = json.loads(m.read_manifest(spark, out).totals.first().recipe)
+        m.materialize(spark, recipe, corpus, out, mode="overwrite")
+        assert ids() == first
+        again = json.loads(m.read_manifest(spark, out).totals.first().recipe)
+        paths = [e["vocabulary_path"] for e in again["filters"]["pipeline"] if e.get("vocabulary_path")]
+        assert len(paths) == 1 and f"/_manifest/v={version}/" in paths[0]
+
+
+def test_a_version_is_committed_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    spark.range(1).write.parquet(f"{out}/_manifest/v=1/files")
+    spark.range(1).write.parquet(f"{out}/_manifest/_pending-x/files")
+    with pytest.raises(RuntimeError, match="committed by another run"):
+        m._commit(spark, f"{out}/_manifest/_pending-x", out, 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from contextlib import contextmanager
+import uuid
 from dataclasses import dataclass, replace
 from typing import Any
 from urllib.parse import quote
@@ -194,26 +195,21 @@ def write_splits(
     max_rows_per_file: int = DEFAULT_ROWS_PER_FILE,
     mode: str = "errorifexists",
     rebalance: bool = False,
-) -> None:
-    """Writes ``parquet/split=<split>/`` and/or ``arrow/split=<split>/``.
+) -> list[tuple[str, str]]:
+    """Writes ``parquet/split=<split>/`` and/or ``arrow/split=<split>/``; returns the new files.
 
-    Every task writes its own rows. ``rebalance`` shuffles once to give files
-    of even size where the input comes in many small pieces: it spreads a large
-    split over many tasks and needs no knowledge of how large each one is.
+    ``mode`` acts on the folder as it is (``materialize`` acts on its manifest instead). Every
+    task writes its own rows. ``rebalance`` shuffles once to give files of even size where the
+    input comes in many small pieces: it spreads a large split over many tasks and needs no
+    knowledge of how large each one is.
     """
-    if output_format not in FORMATS:
-        raise ValueError(f"unknown format {output_format!r}, expected one of {', '.join(FORMATS)}")
-    if max_rows_per_file < 1:
-        raise ValueError("max_rows_per_file must be at least 1")
-    if mode not in MODES:
-        raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(MODES)}")
+    wanted = _wanted_formats(output_format, max_rows_per_file, mode)
     spark = rows.sparkSession
     held = formats_of(spark, out_dir)
-    wanted = {"parquet", "arrow"} if output_format == "both" else {output_format}
     if held and mode == "errorifexists":
         raise FileExistsError(f"{out_dir} already holds {' and '.join(sorted(held))} files")
     if held and mode == "ignore":
-        return
+        return []
     if held and mode == "append" and held != wanted:
         raise ValueError(f"{out_dir} holds {' and '.join(sorted(held))} files, not {output_format}")
     if mode == "overwrite":
@@ -222,22 +218,58 @@ def write_splits(
         rows = durable(rows) if held else rows
         for name in ("parquet", "arrow", "_manifest"):
             delete_folder(spark, f"{out_dir}/{name}")
+    return write_files(rows, out_dir, wanted, max_rows_per_file, rebalance)
+
+
+def _wanted_formats(output_format: str, max_rows_per_file: int, mode: str) -> set[str]:
+    if output_format not in FORMATS:
+        raise ValueError(f"unknown format {output_format!r}, expected one of {', '.join(FORMATS)}")
+    if max_rows_per_file < 1:
+        raise ValueError("max_rows_per_file must be at least 1")
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(MODES)}")
+    return {"parquet", "arrow"} if output_format == "both" else {output_format}
+
+
+def write_files(
+    rows: DataFrame, out_dir: str, wanted: set[str], max_rows_per_file: int, rebalance: bool
+) -> list[tuple[str, str]]:
+    """Adds files beside what is there and returns ``(format, file)`` of those it wrote.
+
+    No manifest lists them until one is committed. Files already there, also those of a run that
+    broke off, are not among them.
+    """
+    spark = rows.sparkSession
     if rebalance:
         rows = rows.hint("rebalance", F.col("split"))
+    new: list[tuple[str, str]] = []
     if "parquet" in wanted:
         before = set(_data_files(spark, out_dir))
         with _without_sort(spark):
             rows.write.mode("append").partitionBy("split").option(
                 "maxRecordsPerFile", max_rows_per_file
             ).parquet(f"{out_dir}/parquet")
+        written = sorted(set(_data_files(spark, out_dir)) - before)
+        new += [("parquet", f) for f in written]
         if "arrow" in wanted:  # what was written just now is not computed twice
-            new = sorted(set(_data_files(spark, out_dir)) - before)
-            rows = _written(spark, out_dir, rows.schema, new)
+            rows = _written(spark, out_dir, rows.schema, written)
     if "arrow" in wanted:
         register_arrow_ipc(spark)
+        before = set(_arrow_files(spark, out_dir))
         rows.write.format(ARROW_FORMAT).mode("append").option(
             "maxRecordsPerFile", max_rows_per_file
         ).save(_arrow_folder(spark, out_dir))
+        new += [("arrow", f) for f in sorted(set(_arrow_files(spark, out_dir)) - before)]
+    return new
+
+
+def _arrow_files(spark: SparkSession, out_dir: str) -> list[str]:
+    """Arrow files of an output as the reader's ``_path`` names them."""
+    from utterflow.sources.arrow_ipc import _data_files as arrow_data_files
+    from utterflow.sources.arrow_ipc import _filesystem
+
+    filesystem, root = _filesystem(_arrow_folder(spark, out_dir))
+    return arrow_data_files(filesystem, root)
 
 
 def _data_files(spark: SparkSession, out_dir: str) -> list[str]:
@@ -313,14 +345,37 @@ def reload(
     splits: list[str] | None = None,
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """A materialised dataset as it was written, in the format its manifest names first.
+    """A materialised dataset as its current manifest lists it, in the format it names first.
 
-    Parquet comes before Arrow, and without a manifest (a stream has none) what is there counts.
-    Only the named splits' files and columns are read, in either format.
+    Only the listed files are read: files of a run that broke off before its manifest, or of an
+    older version, lie beside them unread. Parquet comes before Arrow. Without a manifest (a
+    stream has none) what is in the folder counts. Only the named splits' files and columns are
+    read, in either format.
     """
-    listed = _manifest_formats(spark, out_dir)
-    found = _parquet_or_none(spark, out_dir) if "parquet" in (listed or FORMATS) else None
-    if found is None and "arrow" in (listed or FORMATS):
+    version = current_version(spark, out_dir)
+    if version is None:
+        return _reload_folder(spark, out_dir, splits, columns)
+    listed = spark.read.parquet(f"{_version_folder(out_dir, version)}/files")
+    if splits is not None:
+        listed = listed.where(F.col("split").isin(splits))
+    # File names only: as many as Spark's own index of the folder would hold.
+    by_format: dict[str, list[str]] = {}
+    for r in listed.select("format", "file").collect():
+        by_format.setdefault(r["format"], []).append(r["file"])
+    if "parquet" in by_format:
+        found = _parquet_files(spark, out_dir, sorted(by_format["parquet"]))
+    elif "arrow" in by_format:
+        found = _arrow_listed(spark, out_dir, sorted(by_format["arrow"]), columns)
+    else:
+        found = _empty_like(spark, out_dir, version)
+    if splits is not None:
+        found = found.where(F.col("split").isin(splits))
+    return found if columns is None else found.select(*columns)
+
+
+def _reload_folder(spark, out_dir, splits, columns) -> DataFrame:
+    found = _parquet_or_none(spark, out_dir)
+    if found is None:
         found = _arrow_or_none(spark, out_dir, splits, columns)
     if found is None:
         raise FileNotFoundError(f"no materialised files under {out_dir}")
@@ -329,39 +384,104 @@ def reload(
     return found if columns is None else found.select(*columns)
 
 
+def _parquet_files(spark: SparkSession, out_dir: str, files: list[str]) -> DataFrame:
+    """Listed Parquet files with ``split`` as text, however the values look."""
+    reader = spark.read.option("basePath", f"{out_dir}/parquet")
+    found = reader.parquet(*files)
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "split" else f for f in found.schema]
+    return reader.schema(T.StructType(fields)).parquet(*files)
+
+
+def _arrow_listed(spark, out_dir, files, columns) -> DataFrame:
+    register_arrow_ipc(spark)
+    reader = spark.read.format(ARROW_FORMAT).option("files", json.dumps(files))
+    found = reader.load(_arrow_folder(spark, out_dir))
+    if columns is not None:
+        names = dict.fromkeys([*columns, "split"])
+        found = reader.schema(T.StructType([found.schema[n] for n in names])).load(
+            _arrow_folder(spark, out_dir)
+        )
+    return found
+
+
+def _empty_like(spark: SparkSession, out_dir: str, version: int) -> DataFrame:
+    """No listed file (nothing selected): the rows' schema as the manifest records it."""
+    dataset = spark.read.json(f"{_version_folder(out_dir, version)}/dataset").first()
+    audio = bool(dataset and dataset["audio_enabled"])
+    return spark.createDataFrame([], canonical_schema(audio).add("split", T.StringType()))
+
+
+# --- versions of the manifest -------------------------------------------------
+# Data files are never changed. A run writes its manifest to a folder of its own and makes it
+# current by one rename to _manifest/v=<n>; the highest n is current. Append lists the files of
+# the version before and its own, overwrite its own only. A run that breaks off leaves files that
+# no version lists.
+
+
+def _version_folder(out_dir: str, version: int) -> str:
+    return f"{out_dir}/_manifest/v={version}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def versions(spark: SparkSession, out_dir: str) -> list[int]:
+    """Committed versions of an output's manifest, ascending."""
+    filesystem, folder = _hadoop(spark, f"{out_dir}/_manifest")
+    if not filesystem.exists(folder):
+        return []
+    found = []
+    for status in filesystem.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            found.append(int(name[2:]))
+    return sorted(found)
+
+
+def current_version(spark: SparkSession, out_dir: str) -> int | None:
+    found = versions(spark, out_dir)
+    return found[-1] if found else None
+
+
+def _commit(spark: SparkSession, pending: str, out_dir: str, version: int) -> None:
+    """Makes a written manifest current by one rename; a version that exists is not replaced."""
+    filesystem, source = _hadoop(spark, pending)
+    _, target = _hadoop(spark, _version_folder(out_dir, version))
+    if filesystem.exists(target) or not filesystem.rename(source, target):
+        raise RuntimeError(f"version {version} of {out_dir} was committed by another run")
+
+
 def _manifest_formats(spark: SparkSession, out_dir: str) -> set[str] | None:
-    """The formats that the manifest lists; None without one, or if it lists no file."""
-    try:
-        files = spark.read.parquet(f"{out_dir}/_manifest/files")
-    except AnalysisException:
+    """The formats that the current manifest lists; None without one."""
+    version = current_version(spark, out_dir)
+    if version is None:
         return None
-    return {r["format"] for r in files.select("format").distinct().collect()} or None
+    files = spark.read.parquet(f"{_version_folder(out_dir, version)}/files")
+    return {r["format"] for r in files.select("format").distinct().collect()}
 
 
-def _per_file(spark: SparkSession, out_dir: str, output_format: str) -> DataFrame:
-    """Split, path, rows and seconds of each written file; reads the durations only."""
+def _per_file(spark: SparkSession, out_dir: str, new: list[tuple[str, str]]) -> DataFrame:
+    """Split, path, rows and seconds of each new file; reads the durations of those files only."""
     parts = []
-    if output_format in ("parquet", "both"):
-        written = _parquet_or_none(spark, out_dir)
-        if written is not None:
-            file = F.col("_metadata.file_path").alias("file")
-            parts.append(
-                written.select("split", F.lit("parquet").alias("format"), file, "duration_seconds")
-            )
-    if output_format in ("arrow", "both"):
+    parquet = sorted(f for kind, f in new if kind == "parquet")
+    arrow = sorted(f for kind, f in new if kind == "arrow")
+    if parquet:
+        written = _parquet_files(spark, out_dir, parquet)
+        file = F.col("_metadata.file_path").alias("file")
+        parts.append(written.select("split", F.lit("parquet").alias("format"), file, "duration_seconds"))
+    if arrow:
         register_arrow_ipc(spark)
         written = (
             spark.read.format(ARROW_FORMAT)
+            .option("files", json.dumps(arrow))
             .schema("split string, duration_seconds double, _path string")
             .load(_arrow_folder(spark, out_dir))
         )
-        file = F.col("_path").alias("file")
-        parts.append(
-            written.select("split", F.lit("arrow").alias("format"), file, "duration_seconds")
-        )
-    schema = T.StructType.fromDDL(
-        "split string, format string, file string, duration_seconds double"
-    )
+        parts.append(written.select("split", F.lit("arrow").alias("format"), F.col("_path").alias("file"), "duration_seconds"))
+    schema = T.StructType.fromDDL("split string, format string, file string, duration_seconds double")
     rows = union_rows(spark, parts, schema)
     return rows.groupBy("split", "format", "file").agg(
         F.count("*").alias("rows"),
@@ -371,19 +491,18 @@ def _per_file(spark: SparkSession, out_dir: str, output_format: str) -> DataFram
 
 def write_manifest(
     spark: SparkSession,
-    out_dir: str,
+    folder: str,
+    files: DataFrame,
     recipe: Mapping[str, Any],
     include_audio: bool,
     output_format: str = "parquet",
 ) -> None:
-    """Writes the manifest next to the data, from the data as it now lies there.
+    """Writes a manifest to ``folder``: ``files`` (one row per data file), ``splits``, ``dataset``.
 
-    ``_manifest/files`` is a table of its own because file lists grow with the
-    data; ``_manifest/splits`` and ``_manifest/dataset`` hold one row per split
-    and one row.
+    ``files`` is a table of its own because file lists grow with the data; ``splits`` and
+    ``dataset`` hold one row per split and one row.
     """
-    folder = f"{out_dir}/_manifest"
-    _per_file(spark, out_dir, output_format).write.mode("overwrite").parquet(f"{folder}/files")
+    files.write.parquet(f"{folder}/files")
     files = spark.read.parquet(f"{folder}/files")
     # Both formats hold the same rows; they count once.
     counted_format = "arrow" if output_format == "arrow" else "parquet"
@@ -395,18 +514,22 @@ def write_manifest(
         F.round(seconds / 3600.0, 6).alias("duration_hours"),
     ]
     per_split = counted.groupBy("split").agg(*totals, F.count("*").alias("files"))
-    per_split.orderBy("split").coalesce(1).write.mode("overwrite").json(f"{folder}/splits")
+    per_split.orderBy("split").coalesce(1).write.json(f"{folder}/splits")
     dataset = counted.agg(*totals).select(
         "*",
         F.lit(include_audio).alias("audio_enabled"),
         F.lit(",".join(CANONICAL_SCHEMA.fieldNames())).alias("canonical_schema"),
         F.lit(json.dumps(recipe, sort_keys=True)).alias("recipe"),
     )
-    dataset.coalesce(1).write.mode("overwrite").json(f"{folder}/dataset")
+    dataset.coalesce(1).write.json(f"{folder}/dataset")
 
 
-def read_manifest(spark: SparkSession, out_dir: str) -> Materialized:
-    folder = f"{out_dir}/_manifest"
+def read_manifest(spark: SparkSession, out_dir: str, version: int | None = None) -> Materialized:
+    """The current manifest of an output, or the named version."""
+    version = current_version(spark, out_dir) if version is None else version
+    if version is None:
+        raise FileNotFoundError(f"no manifest under {out_dir}")
+    folder = _version_folder(out_dir, version)
     totals = "rows bigint, duration_seconds double, duration_hours double"
     return Materialized(
         out_dir,
@@ -418,6 +541,19 @@ def read_manifest(spark: SparkSession, out_dir: str) -> Materialized:
     )
 
 
+def _repointed(recipe: Mapping[str, Any], places: Mapping[str, str]) -> dict[str, Any]:
+    """The recipe with the last table vocabulary of each named dataset at its new place."""
+    pipeline = [dict(e) for e in _pipeline(recipe)]
+    for key, place in places.items():
+        for entry in reversed(pipeline):
+            if entry.get("dataset_key") == key and entry.get("vocabulary_path"):
+                entry["vocabulary_path"] = place
+                break
+    if not isinstance(recipe.get("filters"), Mapping):
+        return dict(recipe)
+    return {**recipe, "filters": {**recipe["filters"], "pipeline": pipeline}}
+
+
 def materialize(
     spark: SparkSession,
     recipe: Mapping[str, Any],
@@ -431,33 +567,46 @@ def materialize(
     mode: str = "errorifexists",
     rebalance: bool = False,
 ) -> Materialized:
-    """Select, filter, split and write a recipe's rows, then summarise what was written.
+    """Select, filter, split and write a recipe's rows, then commit a new manifest version.
 
-    The manifest's recipe replays the run: vocabularies that are tables are kept beside it.
+    Modes act on the current manifest: ``append`` lists its files and the new ones, ``overwrite``
+    the new ones only; nothing is deleted, so a run may read the output it replaces. The manifest's
+    recipe replays the run: every version keeps its own copy of vocabularies that are tables.
     """
-    if mode == "ignore" and formats_of(spark, out_dir):
+    wanted = _wanted_formats(output_format, max_rows_per_file, mode)
+    before = current_version(spark, out_dir)
+    held = _manifest_formats(spark, out_dir) if before is not None else formats_of(spark, out_dir)
+    if held and mode == "errorifexists":
+        raise FileExistsError(f"{out_dir} already holds {' and '.join(sorted(held))} files")
+    if held and mode == "ignore":
         return read_manifest(spark, out_dir)
+    if held and mode == "append" and held != wanted:
+        raise ValueError(f"{out_dir} holds {' and '.join(sorted(held))} files, not {output_format}")
+    version = (before or 0) + 1
+    replayed = _table_filters(spark, _pipeline(recipe))
     # Written before rows are selected: the filter and the manifest see one table.
     kept = {
         key: replace(config, vocabulary=durable(config.tokens()), top_k=None)
         if isinstance(config, VocabularyFilter)
         else config
-        for key, config in (filters or {}).items()
+        for key, config in {**replayed, **(filters or {})}.items()
     }
     rows = select_rows(spark, recipe, sources, filters=kept, include_audio=include_audio)
-    write_splits(
-        rows,
-        out_dir,
-        output_format=output_format,
-        max_rows_per_file=max_rows_per_file,
-        mode=mode,
-        rebalance=rebalance,
-    )
+    new = write_files(rows, out_dir, wanted, max_rows_per_file, rebalance)
+    files = _per_file(spark, out_dir, new)
+    if mode == "append" and before is not None:
+        files = read_manifest(spark, out_dir, before).files.unionByName(files)
+    pending = f"{out_dir}/_manifest/_pending-{uuid.uuid4().hex}"
     places = {}
     for key, config in kept.items():
         if isinstance(config, VocabularyFilter):
-            places[key] = f"{out_dir}/_manifest/vocabulary/dataset_key={quote(key, safe=' ')}"
-            config.vocabulary.write.mode("overwrite").parquet(places[key])
-    recorded = with_filters(recipe, kept, places)
-    write_manifest(spark, out_dir, recorded, include_audio, output_format)
-    return read_manifest(spark, out_dir)
+            part = f"vocabulary/dataset_key={quote(key, safe=' ')}"
+            config.vocabulary.write.parquet(f"{pending}/{part}")
+            places[key] = f"{_version_folder(out_dir, version)}/{part}"
+    added = {k: v for k, v in kept.items() if k in (filters or {})}
+    recorded = with_filters(
+        _repointed(recipe, {k: places[k] for k in replayed if k not in added}), added, places
+    )
+    write_manifest(spark, pending, files, recorded, include_audio, output_format)
+    _commit(spark, pending, out_dir, version)
+    return read_manifest(spark, out_dir, version)

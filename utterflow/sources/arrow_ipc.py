@@ -3,8 +3,9 @@
 Spark has no such format built in. Batches arrive as Arrow from the JVM and are
 written as they are, under the same ``split=<value>/`` layout as the Parquet
 sink. Options: ``path``; ``maxRecordsPerFile`` (write); ``partitionBy`` (write,
-default ``split``); ``only`` (read, JSON: partition column to the values to read). A ``_path``
-column in the schema of a read is the file path.
+default ``split``); ``only`` (read, JSON: partition column to the values to read); ``files``
+(read, JSON: the files to read, as ``_path`` gives them, in place of all under ``path``). A
+``_path`` column in the schema of a read is the file path.
 """
 
 from __future__ import annotations
@@ -190,10 +191,12 @@ class ArrowIpcReader(DataSourceReader):
         self.path = options["path"]
         self.schema = schema
         self.only = json.loads(options.get("only", "{}"))
+        self.files = json.loads(options["files"]) if "files" in options else None
 
     def partitions(self) -> list[ArrowFile]:
         filesystem, root = _filesystem(self.path)
-        files = [p for p in _data_files(filesystem, root) if _wanted(p, self.only)]
+        listed = _data_files(filesystem, root) if self.files is None else self.files
+        files = [p for p in listed if _wanted(p, self.only)]
         return [ArrowFile(p) for p in files] or [ArrowFile("")]
 
     def read(self, partition: ArrowFile) -> Iterator:
@@ -230,7 +233,8 @@ class ArrowIpcSource(DataSource):
         from pyspark.sql.pandas.types import from_arrow_schema
 
         filesystem, root = _filesystem(self.options["path"])
-        files = _data_files(filesystem, root)
+        named = self.options.get("files")
+        files = _data_files(filesystem, root) if named is None else json.loads(named)
         few = json.loads(self.options.get("only", "{}"))
         files = [f for f in files if _wanted(f, few)] or files
         if not files:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from utterflow.functions.text import BLANKS, blank_to_null, normalize_text  # noqa: E402
-from utterflow.operators import filters, overview, profiles, splits  # noqa: E402
+from utterflow.operators import balance, filters, overview, profiles, splits  # noqa: E402
 from utterflow.operators.canonical import canonical_rows, canonicalize, union_sources  # noqa: E402
 from utterflow.operators.normalized import add_text_metrics, normalized_rows  # noqa: E402
 from utterflow.plans import catalog, materialize  # noqa: E402
@@ -290,6 +290,15 @@ def materialize_versions(spark: SparkSession, sf: str) -> DataFrame:
     return materialize.reload(spark, out)
 
 
+SPEAKER_CAP = 50
+
+
+def speaker_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """At most SPEAKER_CAP rows per speaker over all sources (documents have one per source)."""
+    capped = balance.capped_per_group(_union(spark, sf), SPEAKER_CAP, "speaker_id")
+    return capped.select("dataset_key", "source_split", "record_id", "speaker_id")
+
+
 def normalized_sample(spark: SparkSession, sf: str) -> DataFrame:
     """The first rows of two splits in the training view."""
     rows = normalized_rows(spark, _mixed(sf), ["train", "validation"], sample_size=300)
@@ -468,6 +477,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "materialize_append_roundtrip": materialize_append_roundtrip,
     "materialize_replay": materialize_replay,
     "materialize_versions": materialize_versions,
+    "speaker_cap": speaker_cap,
     "normalized_sample": normalized_sample,
     "normalize_text_compatibility": normalize_text_compatibility,
     "coerced_durations": coerced_durations,
@@ -745,6 +755,10 @@ ORACLE: dict[str, str] = {
  (SELECT count(*) FROM twice) AS arrow FROM twice GROUP BY dataset_key, split""",
     "materialize_replay": f"{_SELECTED} SELECT * FROM assigned",
     "materialize_versions": f"{_SELECTED} SELECT * FROM assigned",
+    "speaker_cap": f"""{_WITH_ALL} SELECT dataset_key, source_split, record_id, speaker_id FROM
+ (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY sha1(record_id) NULLS FIRST,
+ record_id NULLS FIRST, dataset_key NULLS FIRST, source_split NULLS FIRST) AS r FROM rows_)
+ WHERE r <= {SPEAKER_CAP}""",
     "normalized_sample": f"""SELECT 'train' AS source_split,
  'mixed:train:' || CAST(doc_id AS VARCHAR) AS record_id, coalesce(nullif(lang, ''), 'und') AS language,
  trim(regexp_replace(nfc_normalize(text), '{_BLANK_RUN}', ' ', 'g'), ' ') AS text

@@ -299,6 +299,12 @@ def speaker_cap(spark: SparkSession, sf: str) -> DataFrame:
     return capped.select("dataset_key", "source_split", "record_id", "speaker_id")
 
 
+def gender_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """Events, every gender (event type) cut to the size of the rarest, by the hash of record ids."""
+    kept = balance.balanced_groups(canonical_rows(spark, _events(sf)), "gender")
+    return kept.select("dataset_key", "source_split", "record_id", "gender")
+
+
 def normalized_sample(spark: SparkSession, sf: str) -> DataFrame:
     """The first rows of two splits in the training view."""
     rows = normalized_rows(spark, _mixed(sf), ["train", "validation"], sample_size=300)
@@ -478,6 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "materialize_replay": materialize_replay,
     "materialize_versions": materialize_versions,
     "speaker_cap": speaker_cap,
+    "gender_balance": gender_balance,
     "normalized_sample": normalized_sample,
     "normalize_text_compatibility": normalize_text_compatibility,
     "coerced_durations": coerced_durations,
@@ -755,6 +762,12 @@ ORACLE: dict[str, str] = {
  (SELECT count(*) FROM twice) AS arrow FROM twice GROUP BY dataset_key, split""",
     "materialize_replay": f"{_SELECTED} SELECT * FROM assigned",
     "materialize_versions": f"{_SELECTED} SELECT * FROM assigned",
+    "gender_balance": f"""WITH rows_ AS ({_EVENTS}),
+ c AS (SELECT min(n) AS k FROM (SELECT count(*) AS n FROM rows_ GROUP BY gender))
+ SELECT dataset_key, source_split, record_id, gender FROM
+ (SELECT *, row_number() OVER (PARTITION BY gender ORDER BY sha1(record_id) NULLS FIRST,
+ record_id NULLS FIRST, dataset_key NULLS FIRST, source_split NULLS FIRST) AS r FROM rows_), c
+ WHERE r <= k""",
     "speaker_cap": f"""{_WITH_ALL} SELECT dataset_key, source_split, record_id, speaker_id FROM
  (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY sha1(record_id) NULLS FIRST,
  record_id NULLS FIRST, dataset_key NULLS FIRST, source_split NULLS FIRST) AS r FROM rows_)

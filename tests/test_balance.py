@@ -60,3 +60,27 @@ def test_wide_rows_are_not_shuffled_by_speaker(spark):
     assert "BroadcastHashJoin" in plan
     # Only the few rows that share the last key are sorted whole; none is exchanged by speaker.
     assert "hashpartitioning(speaker_id" not in plan
+
+
+def balanced_brute(rows):
+    counts = {}
+    for r in rows:
+        counts[r[3]] = counts.get(r[3], 0) + 1
+    return brute(rows, min(counts.values())) if rows else []
+
+
+@pytest.mark.parametrize("finish", [1_000_000, 3])
+def test_groups_are_cut_to_the_smallest(spark, monkeypatch, finish):
+    monkeypatch.setattr(balance, "FINISH_ROWS", finish)
+    rows = [(f"r{i}", "d", "train", "f" if i % 4 else "m", "x") for i in range(2000)]
+    rows += [(None, "d", "train", "f", "no id"), (None, "d", "train", "f", "no id 2")]
+    rows += [(f"u{i}", "d", "train", None, "x") for i in range(300)]
+    rows += [("r1", "d", "train", "m", "repeat")] * 3
+    table = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = sorted((tuple(r) for r in balance.balanced_groups(table, "speaker_id").collect()), key=repr)
+    assert got == balanced_brute(rows)
+    assert sum(1 for r in got if r[3] == "f") == 300
+
+
+def test_balance_of_nothing(spark):
+    assert balance.balanced_groups(spark.createDataFrame([], SCHEMA), "speaker_id").collect() == []

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from utterflow.functions.text import BLANKS, blank_to_null, normalize_text  # noqa: E402
-from utterflow.operators import balance, filters, overview, profiles, splits  # noqa: E402
+from utterflow.operators import balance, filters, overview, profiles, scripts, splits  # noqa: E402
 from utterflow.operators.canonical import canonical_rows, canonicalize, union_sources  # noqa: E402
 from utterflow.operators.normalized import add_text_metrics, normalized_rows  # noqa: E402
 from utterflow.plans import catalog, materialize  # noqa: E402
@@ -305,6 +305,12 @@ def gender_balance(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("dataset_key", "source_split", "record_id", "gender")
 
 
+def script_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of all sources whose letters are at least half Latin."""
+    kept = scripts.by_script(_union(spark, sf), "Latin", 0.5)
+    return kept.select("dataset_key", "source_split", "record_id", "n_letters", "n_script")
+
+
 def normalized_sample(spark: SparkSession, sf: str) -> DataFrame:
     """The first rows of two splits in the training view."""
     rows = normalized_rows(spark, _mixed(sf), ["train", "validation"], sample_size=300)
@@ -485,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "materialize_versions": materialize_versions,
     "speaker_cap": speaker_cap,
     "gender_balance": gender_balance,
+    "script_filter": script_filter,
     "normalized_sample": normalized_sample,
     "normalize_text_compatibility": normalize_text_compatibility,
     "coerced_durations": coerced_durations,
@@ -762,6 +769,10 @@ ORACLE: dict[str, str] = {
  (SELECT count(*) FROM twice) AS arrow FROM twice GROUP BY dataset_key, split""",
     "materialize_replay": f"{_SELECTED} SELECT * FROM assigned",
     "materialize_versions": f"{_SELECTED} SELECT * FROM assigned",
+    "script_filter": rf"""{_WITH_ALL} SELECT dataset_key, source_split, record_id, n_letters, n_script
+ FROM (SELECT *, len(regexp_extract_all(coalesce(text, ''), '\p{{L}}')) AS n_letters,
+ len(regexp_extract_all(coalesce(text, ''), '\p{{Latin}}')) AS n_script FROM rows_)
+ WHERE n_letters > 0 AND n_script >= 0.5 * n_letters""",
     "gender_balance": f"""WITH rows_ AS ({_EVENTS}),
  c AS (SELECT min(n) AS k FROM (SELECT count(*) AS n FROM rows_ GROUP BY gender))
  SELECT dataset_key, source_split, record_id, gender FROM

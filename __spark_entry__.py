@@ -15,7 +15,15 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from utterflow.functions.text import BLANKS, blank_to_null, normalize_text  # noqa: E402
-from utterflow.operators import balance, filters, overview, profiles, scripts, splits  # noqa: E402
+from utterflow.operators import (  # noqa: E402
+    balance,
+    duplicates,
+    filters,
+    overview,
+    profiles,
+    scripts,
+    splits,
+)
 from utterflow.operators.canonical import canonical_rows, canonicalize, union_sources  # noqa: E402
 from utterflow.operators.normalized import add_text_metrics, normalized_rows  # noqa: E402
 from utterflow.plans import catalog, materialize  # noqa: E402
@@ -311,6 +319,12 @@ def script_filter(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("dataset_key", "source_split", "record_id", "n_letters", "n_script")
 
 
+def duplicate_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of all sources without an equal normalised text before them by record id."""
+    kept = duplicates.first_transcripts(_union(spark, sf))
+    return kept.select("dataset_key", "source_split", "record_id")
+
+
 def normalized_sample(spark: SparkSession, sf: str) -> DataFrame:
     """The first rows of two splits in the training view."""
     rows = normalized_rows(spark, _mixed(sf), ["train", "validation"], sample_size=300)
@@ -492,6 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "speaker_cap": speaker_cap,
     "gender_balance": gender_balance,
     "script_filter": script_filter,
+    "duplicate_transcripts": duplicate_transcripts,
     "normalized_sample": normalized_sample,
     "normalize_text_compatibility": normalize_text_compatibility,
     "coerced_durations": coerced_durations,
@@ -769,6 +784,11 @@ ORACLE: dict[str, str] = {
  (SELECT count(*) FROM twice) AS arrow FROM twice GROUP BY dataset_key, split""",
     "materialize_replay": f"{_SELECTED} SELECT * FROM assigned",
     "materialize_versions": f"{_SELECTED} SELECT * FROM assigned",
+    "duplicate_transcripts": f"""{_WITH_ALL}, k AS (SELECT *, CASE WHEN len({_tokens()}) > 0
+ THEN sha256(array_to_string({_tokens()}, ' ')) END AS d FROM rows_)
+ SELECT dataset_key, source_split, record_id FROM (SELECT *, row_number() OVER (PARTITION BY d
+ ORDER BY record_id NULLS FIRST, dataset_key NULLS FIRST, source_split NULLS FIRST) AS r FROM k)
+ WHERE d IS NULL OR r = 1""",
     "script_filter": rf"""{_WITH_ALL} SELECT dataset_key, source_split, record_id, n_letters, n_script
  FROM (SELECT *, len(regexp_extract_all(coalesce(text, ''), '\p{{L}}')) AS n_letters,
  len(regexp_extract_all(coalesce(text, ''), '\p{{Latin}}')) AS n_script FROM rows_)

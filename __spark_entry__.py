@@ -399,6 +399,17 @@ def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
     return materialize.reload(spark, out)
 
 
+def stream_first_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents' stream with duplicate texts dropped by the query's state: one row per
+    normalised text, every row without a token."""
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    rows = stream_rows(spark, DOCUMENTS, sf, schema, root=sf, file_glob="documents.parquet")
+    out = new_folder(spark, "stream")
+    materialize_new_files(rows, out, f"{out}/_checkpoint", drop_duplicates=True).awaitTermination()
+    written = materialize.reload(spark, out)
+    return written.select("dataset_key", duplicates.text_digest(F.col("text")).alias("digest"))
+
+
 def audio_struct(spark: SparkSession, sf: str) -> DataFrame:
     rows = canonical_rows(spark, _pages(sf), include_audio=True)
     return rows.select(
@@ -525,6 +536,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "materialize_arrow_roundtrip": materialize_arrow_roundtrip,
     "materialize_manifest": materialize_manifest,
     "stream_documents": stream_documents,
+    "stream_first_transcripts": stream_first_transcripts,
 }
 
 
@@ -885,6 +897,10 @@ ORACLE: dict[str, str] = {
     "materialize_manifest": f"{_SELECTED} SELECT split, {_TOTALS} FROM assigned GROUP BY split",
     "stream_documents": f"""{_WITH_DOCS} SELECT *, {_split_label(0.1, 0.0)} AS split FROM docs
  WHERE text IS NOT NULL AND len({_tokens()}) BETWEEN 20 AND 2000""",
+    "stream_first_transcripts": f"""{_WITH_DOCS}, k AS (SELECT dataset_key, CASE WHEN
+ len({_tokens()}) > 0 THEN sha256(array_to_string({_tokens()}, ' ')) END AS digest FROM docs)
+ SELECT DISTINCT * FROM k WHERE digest IS NOT NULL
+ UNION ALL SELECT * FROM k WHERE digest IS NULL""",
 }
 
 

@@ -39,3 +39,25 @@ def test_new_files_are_added_once_and_match_the_batch(spark, tmp_path):
     write(folder / "2.parquet", {"text": pa.array(texts)})
     run()
     assert found() == expected() and len(found()) == 66
+
+
+def test_duplicates_are_dropped_across_runs(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+
+    def run():
+        schema = spark.read.parquet(str(folder)).schema
+        rows = stream_rows(spark, PHRASES, str(folder), schema, root=str(tmp_path))
+        materialize_new_files(rows, out, str(tmp_path / "ckpt"), drop_duplicates=True).awaitTermination()
+
+    def texts():
+        return sorted(" ".join((r.text or "").lower().split()) for r in reload(spark, out).collect())
+
+    write(folder / "1.parquet", {"text": pa.array(["a b", "A  b", "c", None, "   ", "c"])})
+    run()
+    first = texts()
+    assert first == sorted(["a b", "c", "", ""])
+    write(folder / "2.parquet", {"text": pa.array(["a b", "new words", "C", None])})
+    run()
+    assert texts() == sorted(first + ["new words", ""])
+    run()
+    assert texts() == sorted(first + ["new words", ""])

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from utterflow.functions.hashing import target_split
 from utterflow.operators.canonical import canonicalize
+from utterflow.operators.duplicates import text_digest
 from utterflow.operators.filters import OverlapFilter, apply_filter
 from utterflow.schema import SourceSpec
 from utterflow.sources.parquet import scan_columns
@@ -48,14 +50,27 @@ def materialize_new_files(
     val_ratio: float = 0.1,
     test_ratio: float = 0.1,
     max_rows_per_file: int = 100_000,
+    drop_duplicates: bool = False,
 ) -> StreamingQuery:
     """Filters, splits and appends what arrived since the last run, then stops.
 
-    The file sink's log makes every input file count once across restarts.
+    The file sink's log makes every input file count once across restarts. With
+    ``drop_duplicates`` a row goes if its normalised text was written before, in this run or any
+    earlier one: the digests written are the state of the query, kept in its checkpoint (on the
+    state store the session names; RocksDB keeps it off the heap). Of equal texts within one
+    micro-batch one row is written. Rows without a token are not transcripts and all stay.
     """
     kept = apply_filter(rows, config).withColumn(
         "split", target_split(policy, val_ratio, test_ratio)
     )
+    if drop_duplicates:
+        names = kept.columns
+        row_key = F.concat_ws("\x00", F.lit("row"), "dataset_key", "source_split", "record_id")
+        kept = (
+            kept.withColumn("_d", F.coalesce(text_digest(F.col("text")), row_key))
+            .dropDuplicates(["_d"])
+            .select(*names)
+        )
     return (
         kept.writeStream.format("parquet")
         .partitionBy("split")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from utterflow.plans.storage import durable
+
 UNKNOWN_GENDER = "UNKNOWN"  # fixed value
 # Of the median: cells that a range is cut into, and rows that are few enough to sort.
 PARTS, FEW = 4096, 100_000
@@ -58,7 +60,7 @@ def _middle_cell(counts: DataFrame, rank: int) -> tuple[int, int]:
     return found["cell"], found["through"] - found["n"]
 
 
-def _value_at(values: DataFrame, rank: int) -> float:
+def _value_at(values: DataFrame, rank: int, cells: DataFrame | None = None) -> float:
     """The value of a 0-based rank in the order of a double column ``v``.
 
     Values are counted by cell where they lie, which leaves some thousand counts to shuffle. Of the
@@ -66,7 +68,9 @@ def _value_at(values: DataFrame, rank: int) -> float:
     so on until it holds one value or at most ``FEW`` rows. Doubles have 52 bits below their
     exponent, so that takes at most five passes, however the values cluster.
     """
-    cell, before = _middle_cell(values.groupBy(_cell(F.col("v")).alias("cell")).agg(F.count("*").alias("n")), rank)
+    if cells is None:
+        cells = values.groupBy(_cell(F.col("v")).alias("cell")).agg(F.count("*").alias("n"))
+    cell, before = _middle_cell(cells, rank)
     inside, rank = values.where(_cell(F.col("v")) == cell), rank - before
     while True:
         low, high, n = inside.agg(F.min("v"), F.max("v"), F.count("*")).first()
@@ -91,11 +95,20 @@ def exact_median(values: DataFrame, column: str) -> DataFrame:
 
 
 def _median(v: DataFrame) -> float | None:
-    n = v.count()
+    """One descent to the lower middle rank; the upper one is that value again or the next
+    larger, which one more pass tells. The count comes from the first cells' counts."""
+    cells = v.groupBy(_cell(F.col("v")).alias("cell")).agg(F.count("*").alias("n"))
+    cells = durable(cells)  # counted once, used for the count and the descent
+    n = cells.agg(F.sum("n")).first()[0]
     if not n:
         return None
-    low = _value_at(v, (n - 1) // 2)
-    return low if n % 2 else (low + _value_at(v, n // 2)) / 2
+    low = _value_at(v, (n - 1) // 2, cells)
+    if n % 2:
+        return low
+    upto, above = v.agg(
+        F.count(F.when(F.col("v") <= low, 1)), F.min(F.when(F.col("v") > low, F.col("v")))
+    ).first()
+    return low if upto > n // 2 else (low + above) / 2
 
 
 def duration_summary(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import quote
 
@@ -164,9 +165,10 @@ def canonical_rows(
 def union_sources(
     spark: SparkSession, sources: list[Source], *, provenance: bool = False
 ) -> DataFrame:
-    """Bag union of every split of every source; duplicates stay."""
-    return union_rows(
-        spark,
-        [canonical_rows(spark, s, provenance=provenance) for s in sources],
-        canonical_schema(provenance=provenance),
-    )
+    """Bag union of every split of every source; duplicates stay.
+
+    The sources' plans are built at once: each may list files and read a footer first.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(sources)))) as pool:
+        branches = list(pool.map(lambda s: canonical_rows(spark, s, provenance=provenance), sources))
+    return union_rows(spark, branches, canonical_schema(provenance=provenance))

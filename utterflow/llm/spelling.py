@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from utterflow.llm.tables import Stored
+from utterflow.plans.storage import BROADCAST_BYTES, fits_broadcast
 
 # Fixed values of the task: letters, runs, the deletion rule and the thresholds.
 RUN = "[A-Za-zÀ-ÿ]+"
@@ -101,6 +102,10 @@ def variants(docs: DataFrame) -> DataFrame:
     ).table
     emitted = vocabulary.select("word", F.explode(neighbourhood(F.col("r"))).alias("key"))
     keyed = vocabulary.select(F.col("r").alias("key"), F.col("word").alias("other"), F.col("n").alias("other_n"))
+    # The neighbourhoods are some hundred times the vocabulary: when the vocabulary's size is
+    # known to be small it is broadcast and they stream through the join where they are made.
+    if fits_broadcast(vocabulary, BROADCAST_BYTES, "word", "r"):
+        keyed = F.broadcast(keyed)
     candidates = emitted.join(keyed, "key").where(F.col("word") != F.col("other"))
     near = Stored(
         candidates.where(F.levenshtein("word", "other", 1) == 1)

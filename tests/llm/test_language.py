@@ -46,6 +46,17 @@ def test_viterbi_is_the_best_of_all_labellings():
             at += n
 
 
+def test_viterbi_with_two_hundred_languages():
+    rng = np.random.default_rng(2)
+    scores = rng.normal(size=(30, 200))
+    favourite = rng.integers(128, 200, 30)
+    scores[np.arange(30), favourite] += 100.0
+    lengths = np.array([4, 0, 7, 3])
+    rows = rng.integers(0, 30, lengths.sum())
+    labels = lg.viterbi(scores, rows, lengths, 0.5)
+    assert labels.tolist() == favourite[rows].tolist()
+
+
 def test_spans_of_a_mixed_text(model):
     text = "the house stands near the water  ein haus steht nahe dem wasser, дом стоит у воды 12"
     spans = lg.Identifier(model, penalty=3.0).spans(text)

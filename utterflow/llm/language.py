@@ -210,15 +210,15 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, lengths: np.ndarray, penalty:
     order = order[lengths[order] > 0]
     starts = (np.cumsum(lengths) - lengths)[order]
     sizes = lengths[order]
-    labels = np.zeros(len(rows), np.int8)
+    labels = np.zeros(len(rows), np.int16)
     if not len(order) or not scores.shape[1]:
         return labels
     longest = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")  # texts with a word t
     moved = np.zeros((len(rows), scores.shape[1]), bool)
-    came_from = np.zeros(len(rows), np.int8)
+    came_from = np.zeros(len(rows), np.int16)
     value = scores[rows[starts]]
-    final = np.zeros(len(order), np.int8)
+    final = np.zeros(len(order), np.int16)
     for t in range(1, longest):
         n = active[t]
         if n < len(value):

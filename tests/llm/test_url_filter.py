@@ -99,3 +99,16 @@ def test_repeated_rows_and_clashing_columns(spark):
         "page_id long, url string, html string, host string, verdict string",
     )
     assert [tuple(r) for r in uf.judged_urls(table).collect()] == [(1, "a.net", "/", "net/", "block")] * 2
+
+
+def test_a_partly_blocked_host_spreads_its_share_of_distrust(spark):
+    to = lambda *hosts: "".join(f'<a href="http://{h}/">x</a>' for h in hosts)
+    rows = [(f"http://example.com/de/{i}", None) for i in range(49)]
+    rows += [(f"http://example.com/x{i}", None) for i in range(51)]
+    rows += [("http://linker.io/1", to("example.com")), ("http://other.io/1", None)]
+    found = {(r.host, r.verdict) for r in uf.judged_urls(pages(spark, rows)).collect()}
+    assert ("linker.io", "block") in found and ("other.io", "allow") in found
+
+
+def test_iterations_reach_the_tolerance():
+    assert uf.DAMPING ** uf.ITERATIONS <= uf.TOLERANCE < uf.DAMPING ** (uf.ITERATIONS - 1)

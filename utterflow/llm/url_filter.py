@@ -1,7 +1,7 @@
 """URL filters: rules by host and path, and trust that spreads over links between hosts.
 
-Pages that a rule fits have its verdict. The rules also make seeds: hosts of which at least
-``SEED_SHARE`` of the pages are allowed are trusted, those blocked likewise are not. Trust runs
+Pages that a rule fits have its verdict. The rules also make seeds: every host is trusted by the
+share of its pages that are allowed and distrusted by the share that are blocked. Trust runs
 along links by personalised PageRank from the trusted seeds; distrust runs against the links, to
 those who link to blocked hosts. A host whose distrust exceeds ``threshold`` times its trust is
 blocked where no rule fits.
@@ -9,6 +9,7 @@ blocked where no rule fits.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,10 @@ from pyspark.sql import functions as F
 from utterflow.llm.tables import Stored
 
 DAMPING = 0.85
-ITERATIONS = 30
 TOLERANCE = 1e-6
-SEED_SHARE = 0.5
+# What still moves after k rounds is at most DAMPING^k: this many rounds reach the tolerance, so
+# the tolerance is what stops the iteration.
+ITERATIONS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -147,9 +149,8 @@ def host_verdicts(links: DataFrame, judged: DataFrame, threshold: float = 1.0) -
         F.avg(F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0)).alias("blocked"),
     )
     counts = Stored(counts, "hosts").table
-    seed = lambda share: F.when(F.col(share) >= SEED_SHARE, F.col(share)).otherwise(0.0)
-    trusted = counts.select("host", seed("allowed").alias("weight"))
-    blocked = counts.select("host", seed("blocked").alias("weight"))
+    trusted = counts.select("host", F.col("allowed").alias("weight"))
+    blocked = counts.select("host", F.col("blocked").alias("weight"))
     against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     trust = spread(links, trusted).select("host", F.col("rank").alias("trust"))
     distrust = spread(against, blocked).select("host", F.col("rank").alias("distrust"))

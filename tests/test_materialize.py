@@ -349,3 +349,31 @@ def test_a_version_is_committed_once(spark, tmp_path):
     spark.range(1).write.parquet(f"{out}/_manifest/_pending-x/files")
     with pytest.raises(RuntimeError, match="committed by another run"):
         m._commit(spark, f"{out}/_manifest/_pending-x", out, 1)
+
+
+def test_manifests_keep_speaker_sketches(spark, corpus, tmp_path):
+    out = str(tmp_path / "out")
+    m.materialize(spark, RECIPE, corpus, out)
+    exact = {
+        r.split: r.n for r in m.reload(spark, out).groupBy("split").agg(F.countDistinct("speaker_id").alias("n")).collect()
+    }
+    every = m.reload(spark, out).select(F.countDistinct("speaker_id")).first()[0]
+    counted = {r.split: r.speakers for r in m.speaker_counts(spark, out).collect()}
+    assert counted == {**exact, None: every}
+    m.materialize(spark, RECIPE, corpus, out, mode="append")
+    assert {r.split: r.speakers for r in m.speaker_counts(spark, out).collect()} == counted
+    assert {r.split: r.speakers for r in m.speaker_counts(spark, out, 1).collect()} == counted
+
+
+def test_speaker_sketches_are_within_two_percent(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.range(60_000).selectExpr(
+        "concat('r', id) AS record_id", "IF(id % 2 = 0, 'train', 'test') AS split",
+        "concat('s', id % 40000) AS speaker_id",
+    )
+    new = m.write_files(rows, out, {"parquet"}, 100_000, False)
+    sketches = m._speaker_sketches(spark, out, new)
+    merged = sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("speakers"))).first()[0]
+    assert abs(merged - 40_000) <= 800
+    for r in sketches.select("split", F.hll_sketch_estimate("speakers").alias("n")).collect():
+        assert abs(r.n - 20_000) <= 400

@@ -31,7 +31,7 @@ from utterflow.plans.storage import durable, new_folder, qualified  # noqa: E402
 from utterflow.schema import CANONICAL_SCHEMA, Source, SourceSpec  # noqa: E402
 from utterflow.sources.parquet import read_rows, scan_columns  # noqa: E402
 from utterflow.sources.vocabulary import read_top_tokens, write_top_tokens  # noqa: E402
-from utterflow.streaming.incremental import materialize_new_files, stream_rows  # noqa: E402
+from utterflow.streaming.incremental import materialize_new_files, stream_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 PIECES = "utterflow.bench.pieces"
@@ -392,7 +392,7 @@ def vocabulary_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    rows = stream_rows(spark, DOCUMENTS, sf, schema, root=sf, file_glob="documents.parquet")
+    rows = stream_table(spark, DOCUMENTS, sf, "documents.parquet", schema, root=sf)
     out = new_folder(spark, "stream")
     config = filters.OverlapFilter(min_tokens=20, max_tokens=2000)
     materialize_new_files(rows, out, f"{out}/_checkpoint", config=config).awaitTermination()
@@ -403,7 +403,7 @@ def stream_first_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     """The documents' stream with duplicate texts dropped by the query's state: one row per
     normalised text, every row without a token."""
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    rows = stream_rows(spark, DOCUMENTS, sf, schema, root=sf, file_glob="documents.parquet")
+    rows = stream_table(spark, DOCUMENTS, sf, "documents.parquet", schema, root=sf)
     out = new_folder(spark, "stream")
     materialize_new_files(rows, out, f"{out}/_checkpoint", drop_duplicates=True).awaitTermination()
     written = materialize.reload(spark, out)

@@ -6,7 +6,7 @@ from utterflow.operators.filters import OverlapFilter
 from utterflow.operators.splits import assign_split
 from utterflow.plans.materialize import reload
 from utterflow.schema import Source
-from utterflow.streaming.incremental import materialize_new_files, stream_rows
+from utterflow.streaming.incremental import materialize_new_files, stream_rows, stream_table
 
 
 def test_new_files_are_added_once_and_match_the_batch(spark, tmp_path):
@@ -61,3 +61,34 @@ def test_duplicates_are_dropped_across_runs(spark, tmp_path):
     assert texts() == sorted(first + ["new words", ""])
     run()
     assert texts() == sorted(first + ["new words", ""])
+
+
+def test_a_table_may_be_one_file_or_a_folder_of_parts(spark, tmp_path):
+    words = pa.array([f"some words {i % 7}" for i in range(30)])
+    write(tmp_path / "one.parquet", {"text": words})
+    for k in range(3):
+        write(tmp_path / f"parts.parquet/part-{k}.parquet", {"text": words[k * 10 : k * 10 + 10]})
+    write(tmp_path / "other.parquet", {"text": pa.array(["not asked for"])})
+    for name in ("one.parquet", "parts.parquet"):
+        out = str(tmp_path / "out" / name)
+        schema = spark.read.parquet(str(tmp_path / name)).schema
+        rows = stream_table(spark, PHRASES, str(tmp_path), name, schema, root=str(tmp_path))
+        materialize_new_files(rows, out, f"{out}/_checkpoint").awaitTermination()
+        batch = canonical_rows(spark, Source(PHRASES, {"train": str(tmp_path / name)}, root=str(tmp_path)))
+        found, expected = ([(r.record_id, r.text) for r in t.collect()] for t in (reload(spark, out), batch))
+        assert len(found) == 30 and sorted(found) == sorted(expected)
+
+
+def test_stream_queries_read_a_table_of_parts(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    texts = [" ".join(["word"] * (25 + i % 4)) for i in range(12)]
+    for k in range(2):
+        own = slice(6 * k, 6 * k + 6)
+        columns = {
+            "doc_id": pa.array(range(12))[own], "text": pa.array(texts)[own],
+            "lang": pa.array(["en"] * 12)[own], "source": pa.array(["s"] * 12)[own], "n_chars": pa.array([0] * 12)[own],
+        }
+        write(tmp_path / f"documents.parquet/part-{k}.parquet", columns)
+    assert entry.stream_documents(spark, str(tmp_path)).count() == 12
+    assert entry.stream_first_transcripts(spark, str(tmp_path)).count() == 4

@@ -61,6 +61,14 @@ def qualified(spark: SparkSession, path: str) -> str:
     return folder.getFileSystem(conf).makeQualified(folder).toString()
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder at a path, on whatever file system it is on."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = folder.getFileSystem(conf)
+    return files.exists(folder) and files.getFileStatus(folder).isDirectory()
+
+
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Deletes a folder when the driver's JVM ends in an orderly way."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,6 +11,7 @@ from utterflow.functions.hashing import target_split
 from utterflow.operators.canonical import canonicalize
 from utterflow.operators.duplicates import text_digest
 from utterflow.operators.filters import OverlapFilter, apply_filter
+from utterflow.plans.storage import is_folder
 from utterflow.schema import SourceSpec
 from utterflow.sources.parquet import scan_columns
 
@@ -40,6 +41,26 @@ def stream_rows(
     return canonicalize(rows, spec, split, root=root)
 
 
+def stream_table(
+    spark: SparkSession,
+    spec: SourceSpec,
+    folder: str,
+    name: str,
+    schema: T.StructType,
+    split: str = "train",
+    **options,
+) -> DataFrame:
+    """``stream_rows`` of the table ``name`` in a folder: one file, or a folder of part files.
+
+    A stream reads folders, so a table of one file is its folder with the name as the glob. Options
+    are those of ``stream_rows``.
+    """
+    path = f"{folder.rstrip('/')}/{name}"
+    if is_folder(spark, path):
+        return stream_rows(spark, spec, path, schema, split, **options)
+    return stream_rows(spark, spec, folder, schema, split, file_glob=name, **options)
+
+
 def materialize_new_files(
     rows: DataFrame,
     out_dir: str,

@@ -218,3 +218,29 @@ def test_one_file_in_two_datasets(spark, broadcast_bytes):
     assert sorted((r.dataset_key, r.text) for r in got.collect()) == [
         ("one", "x x"), ("one", "x y"), ("two", "y y")
     ]
+
+
+def test_nothing_that_grows_is_broadcast_beyond_the_limit(spark):
+    texts = [f"the w{i} w{i % 7} x" for i in range(2000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    table = filters.durable(spark.createDataFrame([("the",), ("x",), ("w3",)], "token string"))
+    got = filters.join_overlap(rows, table, 0.7, broadcast_bytes=0, key=("i",))
+    assert sorted(r.i for r in got.collect()) == [i for i in range(2000) if i % 7 == 3]
+    # The copies of the words per salt and the keys that passed are small for Spark's own estimate.
+    frequent = filters._frequent(filters.exploded_tokens(rows), ["token"])
+    assert {(r.token, r._salts) for r in frequent.collect()} == {
+        ("the", 333), ("x", 333), *((f"w{k}", 48) for k in range(7)),
+    }
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "rightHint=(strategy=merge)" in plan and "broadcast" not in plan
+
+
+def test_copies_of_words_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(filters, "durable", lambda t, f=filters.durable: plans.append(plan_of(t)) or f(t))
+    rows = spark.createDataFrame([(i, f"the w{i}") for i in range(50)], "i long, text string")
+    table = spark.createDataFrame([("the",), ("w3",)], "token string")
+    filters.join_overlap(rows, table, 0.7, broadcast_bytes=0, key=("i",)).collect()
+    joins = [line for plan in plans for line in plan.splitlines() if "_salt" in line and "Join" in line]
+    assert any("SortMergeJoin" in line for line in joins)
+    assert not any("BroadcastHashJoin" in line and "_salt#" in line.replace("_salts#", "") for line in joins)

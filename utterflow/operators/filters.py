@@ -20,9 +20,9 @@ FILTER_TYPE = "text_frequency_overlap"  # fixed value: the one filter type recip
 # out with every task; 100,000 literals add seconds to planning and milliseconds
 # to a task, and save shuffling the rows.
 LITERAL_TOKENS, LITERAL_BYTES = 100_000, 2 * 1024 * 1024
-# A frequent word may be in every text: its rows are dealt out to this many join
-# keys. What is still uneven then, adaptive execution splits.
-SALTS = 32
+# A frequent word may be in every text: one that brings more than this share of the
+# rows is dealt out to as many join keys as it has shares, so at most SHARES words are.
+SHARES = 1000
 ROW_KEY = ("dataset_key", "source_split", PATH, ROW)
 
 
@@ -192,9 +192,11 @@ def join_overlap(
     For vocabularies too large for the plan. ``on`` names further columns that
     vocabulary and rows must agree in; ``min_overlap_ratio`` may name a column
     of ``rows``. Tokens travel with a 16-byte hash of the row's key and nothing
-    else of the row. The rows themselves stay where they are as long as the
-    keys of those that pass can be broadcast (at most ``broadcast_bytes``);
-    beyond, they are joined by shuffle.
+    else of the row. A vocabulary beyond ``broadcast_bytes`` is joined by
+    shuffle, for which texts are first dealt out by that hash: the words of one
+    are then counted in place. The rows themselves stay where they are as long
+    as the keys of those that pass can be broadcast; beyond, they are joined by
+    shuffle.
     """
     named = row_key(rows, key)
     per_row = isinstance(min_overlap_ratio, str)
@@ -204,17 +206,27 @@ def join_overlap(
     key = ["_key_a", "_key_b"]
     hashes = dict(zip(key, (F.xxhash64(*parts), F.xxhash64(F.lit("b"), *parts[::-1]))))
     carried = list(dict.fromkeys([*key, *on, *([min_overlap_ratio] if per_row else [])]))
-    words = exploded_tokens(rows.withColumns(hashes), *carried)
+    hashed = rows.withColumns(hashes)
     known = vocabulary.select(*on, "token", F.lit(True).alias("_known"))
     match = [*on, "token"]
     if fits_broadcast(vocabulary, broadcast_bytes, *match):
+        words = exploded_tokens(hashed, *carried)
         found = words.withColumn("_n", F.lit(1)).join(F.broadcast(known), match, "left")
     else:
+        frequent = F.broadcast(_frequent(exploded_tokens(hashed, *on), match))
         # A word counts once per text from here on, however often it is in it.
+        words = exploded_tokens(hashed.select(*carried, "text").repartition(*key), *carried)
         counted = words.groupBy(*carried, "token").agg(F.count("*").alias("_n"))
-        salt = F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
-        copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        found = counted.withColumn("_salt", salt).join(copies, [*match, "_salt"], "left")
+        salts = F.coalesce("_salts", F.lit(1).cast("long"))
+        salt = F.pmod(F.xxhash64(*key), salts)
+        last = F.sequence(F.lit(0).cast("long"), salts - 1)
+        copies = known.join(frequent, match, "left").withColumn("_salt", F.explode(last))
+        # Spark takes the copies for as few as the words: without the hint it would broadcast them.
+        found = (
+            counted.join(frequent, match, "left")
+            .withColumn("_salt", salt)
+            .join(copies.drop("_salts").hint("merge"), [*match, "_salt"], "left")
+        )
     hits = F.coalesce(F.sum(F.when(F.col("_known"), F.col("_n"))), F.lit(0))
     passed = (
         found.groupBy(*carried)
@@ -223,11 +235,23 @@ def join_overlap(
         .select(*key)
     )
     passed = durable(passed)
-    if fits_broadcast(passed, broadcast_bytes):
-        passed = F.broadcast(passed)
+    small = fits_broadcast(passed, broadcast_bytes)
+    passed = F.broadcast(passed) if small else passed.hint("merge")
     return rows.withColumns(hashes).join(passed, key, "left_semi").drop(*key)
 
 
+def _frequent(words: DataFrame, match: list[str]) -> DataFrame:
+    """``(*match, _salts)`` of the words with more than one in SHARES of all rows of ``words``.
+
+    ``_salts`` is their number of shares. There are fewer than SHARES such words, whatever the rows.
+    """
+    counts = words.groupBy(*match).agg(F.count("*").alias("_rows"))
+    counts = durable(counts.where("_rows > 1"))
+    total = counts.agg(F.sum("_rows")).first()[0] or 1
+    shares = F.ceil(F.col("_rows") * SHARES / total)
+    return counts.select(*match, shares.alias("_salts")).where("_salts > 1")
+
+
 def filter_by_config_table(
     rows: DataFrame,
     configs: DataFrame,

@@ -2,6 +2,7 @@ import random
 import sys
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
@@ -73,3 +74,15 @@ def test_only_nfkc_leaves_the_jvm(spark):
     frame = spark.createDataFrame([("a b",)], "t string")
     assert "Python" not in plan_of(frame.select(text.lower_tokens(F.col("t"))))
     assert "ArrowEvalPython" in plan_of(frame.select(text.normalize_text(F.col("t"))))
+
+
+def test_nfkc_gives_a_few_texts_at_a_time(spark):
+    sent = pa.array([f"\ufb01{i}" if i % 3 else None for i in range(1000)])
+    results = list(text._nfkc_udf().func(iter([sent, sent.slice(0, 0), sent.slice(0, 5)])))
+    assert max(len(r) for r in results) <= text.NFKC_ROWS
+    assert [v for r in results for v in r.to_pylist()] == [
+        f"fi{i}" if i % 3 else None for i in [*range(1000), *range(5)]
+    ]
+    rows = spark.range(3000).select(F.concat(F.lit("\ufb01"), "id").alias("t"), "id").coalesce(1)
+    got = rows.select(text.nfkc(F.col("t")).alias("t"), "id").collect()
+    assert all(r.t == f"fi{r.id}" for r in got) and len(got) == 3000

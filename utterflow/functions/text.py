@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,13 +64,24 @@ def char_count(text: Column) -> Column:
     return F.char_length(F.coalesce(text, F.lit("")))
 
 
-def _nfkc_udf():
+# Texts that are Python strings at one time.
+NFKC_ROWS = 64
+
+
+def _nfkc_udf(rows: int = NFKC_ROWS):
     # Nested so that workers get the code by value and need not import this package.
-    @F.pandas_udf("string")
-    def nfkc_batch(values: pd.Series) -> pd.Series:
-        return values.str.normalize("NFKC")
+    @F.arrow_udf("string")
+    def nfkc_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import unicodedata
+
+        for batch in batches:
+            for low in range(0, len(batch), rows):
+                own = batch.slice(low, rows).to_pylist()
+                yield pa.array(
+                    [None if v is None else unicodedata.normalize("NFKC", v) for v in own], pa.string()
+                )
 
-    return nfkc_batch
+    return nfkc_slices
 
 
 def nfkc(text: Column) -> Column:
@@ -76,7 +89,8 @@ def nfkc(text: Column) -> Column:
 
     Spark calls a UDF for every row, whatever ``when`` surrounds it, so the
     argument is nulled where NFKC can change nothing (pure ASCII): such texts
-    never travel to Python, and no second scan is needed to spare them.
+    never travel to Python, and no second scan is needed to spare them. A worker holds
+    the batch it was sent and NFKC_ROWS results, whatever the input.
     """
     needs_python = F.when(text.rlike(r"[^\x00-\x7f]"), text)
     return F.coalesce(_nfkc_udf()(needs_python), text)

@@ -128,3 +128,25 @@ def test_blocks_hold_the_words_of_their_sources(documents):
     counted = mixing.mixed(documents(rows), **options).collect()
     expected = sorted((len(r[1].split()), taken.get(str(i), 0)) for i, r in enumerate(rows))
     assert sorted((r.size, r.taken) for r in counted) == expected
+
+
+def test_texts_are_shuffled_once(documents, monkeypatch):
+    plans = {}
+
+    class Watched(mixing.Stored):
+        def __init__(self, table, name="step"):
+            plans[name] = table._jdf.queryExecution().explainString(
+                table.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            )
+            super().__init__(table, name)
+
+    monkeypatch.setattr(mixing, "Stored", Watched)
+    rows = [(i, " ".join(f"{i}.{k}" for k in range(40)), "en", "ab"[i % 2], 0) for i in range(50)]
+    table = mixing.mixed_blocks(documents(rows), block_words=16, shard_slots=32)
+    # 2000 words, as many buckets as texts: nearly every block has parts in several buckets.
+    assert table.selectExpr("sum(size(split(text, ' ')))").first()[0] == pytest.approx(2000, abs=40)
+    fields = plans["blocks"].split("\n\n")
+    dealt = [f for f in fields if ") Exchange\n" in f and "hashpartitioning" in f]
+    assert len([f for f in dealt if "text#" in f.split("Arguments")[0]]) == 1
+    # Pieces travel in no exchange: those by block have lean columns only.
+    assert not [f for f in dealt if "hashpartitioning(source_key" in f and "block#" in f.split("Arguments")[1] and "source_id" in f]

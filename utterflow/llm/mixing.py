@@ -6,9 +6,11 @@
    close to the target.
 3. The slots of a source are numbered through all shards. Slot j takes block ``perm(j mod n)`` in
    pass ``j div n``; ``perm`` is a keyed Feistel permutation of the source's n block numbers.
-4. Texts are cut into pieces where blocks end. Pieces are gathered by block and joined with the
-   slots by block number, which gives the mixed text; within a shard the slots of all sources are
-   permuted. What the mix takes of a document is counted from these blocks.
+4. Texts go once to the (source, bucket) in which they lie, as do the slots of the blocks there.
+   Texts are cut into pieces where blocks end, and pieces are gathered with the slots by block
+   number, which gives the mixed text; within a shard the slots of all sources are permuted. A block
+   that begins in one bucket and ends in another is put together from its parts. What the mix takes
+   of a document is counted from these blocks.
 
 A block is taken at most ``cap`` times, and so is every word of every document. All of it is
 DataFrame functions; prefix sums go through buckets, so no task sees a whole source.
@@ -91,18 +93,21 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, text, size, digest, bucket)``: the words of every text, joined by blanks."""
-    own = words(F.col("text"))
+    """The words of every text, joined by blanks, as ``text``, with their number and place.
+
+    Columns ``doc_id, source, text, size, digest, source_key, bucket``. ``source_key`` is the source,
+    told from a missing one and never null, so that windows and joins deal rows out alike.
+    """
+    own = docs.select("doc_id", "source", words(F.col("text")).alias("own"))
+    texts = own.select(
+        "doc_id", "source", F.array_join("own", " ").alias("text"), F.size("own").cast("long").alias("size")
+    )
     # The digest spreads rows without an id, and orders rows with equal ids by their words.
-    return (
-        docs.select("doc_id", "source", F.array_join(own, " ").alias("text"))
-        .withColumns(
-            {
-                "size": F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " "))).cast("long"),
-                "digest": F.xxhash64("text"),
-            }
-        )
-        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(BUCKETS)).cast("int"))
+    return texts.withColumn("digest", F.xxhash64("text")).withColumns(
+        {
+            "source_key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")),
+            "bucket": F.pmod(F.xxhash64("doc_id", "digest"), F.lit(BUCKETS)).cast("int"),
+        }
     )
 
 
@@ -122,7 +127,7 @@ class Mix:
     ):
         texts = sized_documents(docs)
         sized = Stored(texts.drop("text"), "sizes").table
-        of_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+        of_bucket = sized.groupBy("source", "source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
         sizes = of_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
         sources = Stored(
             source_targets(sizes)
@@ -145,9 +150,10 @@ class Mix:
         )
         starts = Stored(
             starts.select(
-                F.col("source").alias("s"),
+                F.col("source_key").alias("s"),
                 F.col("bucket").alias("b"),
                 "bucket_start",
+                "bucket_size",
                 "source_id",
                 "source_size",
                 "target",
@@ -155,23 +161,33 @@ class Mix:
             "starts",
         ).table
         self.placed = _placed(sized, starts)
-        pieces = _pieces(_placed(texts, starts), block_words)
-        held = pieces.groupBy("source_id", "block").agg(
-            F.array_sort(F.collect_list("piece")).alias("pieces"), F.first("source").alias("source")
+        # Spark takes tables that explode makes for as few as what they are made from: without the
+        # hints it would broadcast them.
+        slots = _slots(sources, shard_slots, cap, seed).join(
+            _covers(starts, block_words).hint("merge"), ["source_id", "block"]
+        )
+        slots = slots.groupBy("source_key", "bucket", "block").agg(
+            F.collect_list(F.struct("shard", "slot")).alias("slots"), F.first("shared").alias("shared")
         )
-        # Spark takes the blocks for as few as the sources that they are made from: without the
-        # hint it would broadcast the slots.
-        slots = _slots(sources, shard_slots, cap, seed).hint("merge")
-        mixed_ = held.join(slots, ["source_id", "block"]).select(
-            "shard",
-            "slot",
+        # The one shuffle of the texts; what follows stays in their (source, bucket).
+        rows = texts.unionByName(slots.withColumn("size", F.lit(0).cast("long")), allowMissingColumns=True)
+        pieces = _pieces(_placed(rows, starts), block_words)
+        held = pieces.groupBy("source_key", "bucket", "source_id", "block").agg(
+            F.array_sort(F.collect_list("piece")).alias("pieces"),
+            F.first("source", True).alias("source"),
+            F.first("slots", True).alias("slots"),
+            F.first("shared", True).alias("shared"),
+        )
+        parts = held.select(
             "source",
             "source_id",
             "block",
+            "shared",
             F.array_join(F.transform("pieces", lambda p: p["text"]), " ").alias("text"),
             F.transform("pieces", lambda p: p.dropFields("text")).alias("pieces"),
+            F.inline("slots"),
         )
-        self.blocks = Stored(mixed_, "blocks").table
+        self.blocks = _whole(Stored(parts, "blocks").table)
 
     def taken(self) -> DataFrame:
         """``doc_id, size, source_size, target, taken`` per row, counted from ``blocks``."""
@@ -213,17 +229,20 @@ def mixed(docs: DataFrame, **options: int) -> DataFrame:
 
 def _placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
     """Rows of ``sized_documents`` with ``start``, the place of their first word in the source."""
-    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size", "digest")
+    inside = Window.partitionBy("source_key", "bucket").orderBy("doc_id", "size", "digest")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+        .join(starts, (F.col("source_key") == F.col("s")) & (F.col("bucket") == F.col("b")))
         .withColumn("start", F.col("bucket_start") + F.col("before"))
     )
 
 
 def _pieces(placed: DataFrame, block_words: int) -> DataFrame:
-    """``(source_id, source, block, piece)``: the words of each text, cut where blocks end."""
+    """The words of each text, cut where blocks end, a row per ``block`` and ``piece``.
+
+    Rows of slots have no words and come through with their block.
+    """
     start, end = F.col("start"), F.col("start") + F.col("size")
     first = F.floor(start / block_words).cast("long")
     last = F.floor((end - 1) / block_words).cast("long")
@@ -243,9 +262,43 @@ def _pieces(placed: DataFrame, block_words: int) -> DataFrame:
         F.array(F.split("text", " ")),
         lambda own: F.transform(F.sequence(first, last), lambda block: cut(own, block)),
     )
-    return placed.where("size > 0").select(
-        "source_id", "source", F.explode(F.flatten(cuts)).alias("c")
-    ).select("source_id", "source", "c.block", "c.piece")
+    cuts = F.when(F.col("size") > 0, F.flatten(cuts))
+    kept = ("source_key", "bucket", "source_id", "source", "slots", "shared")
+    rows = placed.where("size > 0 OR slots IS NOT NULL").select(*kept, "block", F.explode_outer(cuts).alias("c"))
+    return rows.select(*kept, F.coalesce("c.block", "block").alias("block"), "c.piece")
+
+
+def _covers(starts: DataFrame, block_words: int) -> DataFrame:
+    """``(source_id, block, source_key, bucket, shared)``: the blocks with words in each bucket.
+
+    A ``shared`` block has words in other buckets, too.
+    """
+    low, high = F.col("bucket_start"), F.col("bucket_start") + F.col("bucket_size")
+    first, last = (F.floor(at / block_words).cast("long") for at in (low, high - 1))
+    begin = F.col("block") * block_words
+    end = F.least(begin + block_words, F.col("source_size"))
+    rows = starts.where("bucket_size > 0").withColumn("block", F.explode(F.sequence(first, last)))
+    return rows.select(
+        "source_id",
+        "block",
+        F.col("s").alias("source_key"),
+        F.col("b").alias("bucket"),
+        ((begin < low) | (end > high)).alias("shared"),
+    )
+
+
+def _whole(parts: DataFrame) -> DataFrame:
+    """Blocks from their parts: only those that buckets share have several."""
+    names = ["shard", "slot", "source", "source_id", "block", "text", "pieces"]
+    part = F.struct(F.col("pieces")[0]["start"].alias("start"), "text", "pieces")
+    joined = (
+        parts.where("shared")
+        .groupBy("shard", "slot", "source", "source_id", "block")
+        .agg(F.array_sort(F.collect_list(part)).alias("parts"))
+        .withColumn("text", F.array_join(F.transform("parts", lambda p: p["text"]), " "))
+        .withColumn("pieces", F.flatten(F.transform("parts", lambda p: p["pieces"])))
+    )
+    return parts.where("NOT shared").select(*names).unionByName(joined.select(*names))
 
 
 def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:

@@ -150,3 +150,21 @@ def test_texts_are_shuffled_once(documents, monkeypatch):
     assert len([f for f in dealt if "text#" in f.split("Arguments")[0]]) == 1
     # Pieces travel in no exchange: those by block have lean columns only.
     assert not [f for f in dealt if "hashpartitioning(source_key" in f and "block#" in f.split("Arguments")[1] and "source_id" in f]
+
+
+def test_shard_counts_are_multinomial_draws_that_add_up(spark):
+    """Shares in a shard vary as draws without replacement do, not by one slot as with one phase."""
+    sources = spark.createDataFrame(
+        [(0, 5000.2, 9000), (1, 3000.5, 9000), (2, 2000.3, 9000)], "source_id long, wanted double, blocks long"
+    )
+    counts = {(r.source_id, r.shard): r.slots for r in mixing.shard_counts(sources, 100, 5).collect()}
+    assert len({shard for _, shard in counts}) == 101  # the last has one slot
+    for k, n in enumerate((5000, 3001, 2000)):
+        own = [counts.get((k, shard), 0) for shard in range(101)]
+        share = n / 10001
+        expected = 100 * share * (1 - share) * (10001 - 100) / 10000
+        mean = sum(own[:100]) / 100
+        assert sum(own) == n
+        assert 0.5 < sum((x - mean) ** 2 for x in own[:100]) / 99 / expected < 1.7
+    slots = mixing.drawn_slots(sources, 100, 5).collect()
+    assert len({(r.shard, r.slot) for r in slots}) == len(slots) == 10001

@@ -1,14 +1,13 @@
 """Mix sources to target weights by drawing fixed-length blocks of words.
 
 1. The words of a source are laid end to end and cut into blocks of ``block_words``.
-2. Every output shard has ``shard_slots`` slots. Its source counts are a multinomial draw of low
-   variance (systematic resampling: one random phase per shard), so that the sum over shards stays
-   close to the target.
+2. Every output shard has ``shard_slots`` slots. Its source counts are a multinomial draw, under the
+   condition that the shards add up to the targets (a multivariate hypergeometric draw).
 3. The slots of a source are numbered through all shards. Slot j takes block ``perm(j mod n)`` in
    pass ``j div n``; ``perm`` is a keyed Feistel permutation of the source's n block numbers.
 4. Texts go once to the (source, bucket) in which they lie, as do the slots of the blocks there.
    Texts are cut into pieces where blocks end, and pieces are gathered with the slots by block
-   number, which gives the mixed text; within a shard the slots of all sources are permuted. A block
+   number, which gives the mixed text; the slots of all sources are permuted by the draw. A block
    that begins in one bucket and ends in another is put together from its parts. What the mix takes
    of a document is counted from these blocks.
 
@@ -26,6 +25,8 @@ from utterflow.llm.tables import Stored, words
 WEIGHTS = (5, 2, 1)
 BUCKETS = 4096
 FEISTEL_ROUNDS = 6
+# Slots that one row becomes at a time.
+SLOTS_PER_ROW = 8192
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3) -> DataFrame:
@@ -301,61 +302,52 @@ def _whole(parts: DataFrame) -> DataFrame:
     return parts.where("NOT shared").select(*names).unionByName(joined.select(*names))
 
 
-def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
-    """``(source_id, shard, slots, first_slot)``: what each shard draws from each source.
+def drawn_slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+    """``(source_id, blocks, nth, shard, slot)``: the slots that each source gets, numbered by ``nth``.
 
-    With cumulative shares C and the phase u of a shard of n slots, source k gets
-    floor(n C(k) + u) - floor(n C(k-1) + u) of them; its expectation is n times its share.
+    A source gets its ``wanted`` slots, to the nearest number of the running sum. All slots are laid
+    end to end by source and permuted, and cut into shards: what a shard has of each source is a
+    multinomial draw under the condition that the shards add up to these numbers.
     """
-    everything = Window.partitionBy()
-    upto = Window.orderBy("source_id").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("wanted").over(everything)
-    shared = sources.withColumns({"upto": F.sum("wanted").over(upto), "total": total})
-    below = F.coalesce(F.lag("upto").over(Window.orderBy("source_id")), F.lit(0.0))
-    shared = shared.withColumn("below", below).where("total > 0")
-    n_slots = F.round("total").cast("long")
-    shards = F.ceil(n_slots / shard_slots).cast("long")
-    rows = shared.withColumn("n_slots", n_slots).select(
-        "source_id", "below", "upto", "total", "n_slots", "blocks",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(shards - 1, F.lit(0)))).alias("shard"),
-    )
-    own = F.least(F.lit(shard_slots), F.col("n_slots") - F.col("shard") * shard_slots)
-    phase = F.pmod(F.xxhash64(F.lit(seed), "shard"), F.lit(1 << 40)) / float(1 << 40)
-    high = F.floor(own * (F.col("upto") / F.col("total")) + phase)
-    low = F.floor(own * (F.col("below") / F.col("total")) + phase)
-    drawn = rows.withColumn("slots", (high - low).cast("long"))
-    earlier = Window.partitionBy("source_id").orderBy("shard")
-    return drawn.select(
-        "source_id", "blocks", "shard", "slots",
-        (F.sum("slots").over(earlier) - F.col("slots")).alias("first_slot"),
-    )
-
-
-def _slots(sources: DataFrame, shard_slots: int, cap: int, seed: int) -> DataFrame:
-    """``(source_id, block, shard, slot)``: the block in each slot; sources are mixed in a shard."""
-    counts = shard_counts(sources, shard_slots, seed)
-    in_shard = Window.partitionBy("shard")
-    upto = in_shard.orderBy("source_id").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumns(
+    upto = F.sum("wanted").over(Window.orderBy("source_id").rowsBetween(Window.unboundedPreceding, 0))
+    ends = sources.withColumn("high", F.floor(upto + 0.5).cast("long"))
+    ends = ends.withColumns(
         {
-            "place": F.sum("slots").over(upto) - F.col("slots"),
-            "own": F.sum("slots").over(in_shard),
+            "low": F.coalesce(F.lag("high").over(Window.orderBy("source_id")), F.lit(0).cast("long")),
+            "total": F.max("high").over(Window.partitionBy()),
         }
-    ).where("slots > 0 AND blocks > 0")
+    ).where("high > low AND blocks > 0")
+    size = F.lit(SLOTS_PER_ROW)
+    chunks = F.sequence(F.floor(F.col("low") / size), F.floor((F.col("high") - 1) / size))
+    rows = ends.select("source_id", "blocks", "low", "high", "total", F.explode(chunks).alias("chunk"))
     # A few rows by now; spread over tasks before each becomes thousands of slots.
     n_tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = counts.repartition(n_tasks, "source_id", "shard")
-    slots = counts.select(
+    rows = rows.repartition(n_tasks, "source_id", "chunk")
+    first = F.greatest("low", F.col("chunk") * size)
+    last = F.least("high", (F.col("chunk") + 1) * size) - 1
+    slots = rows.select("source_id", "blocks", "low", "total", F.explode(F.sequence(first, last)).alias("at"))
+    place = permuted(F.col("at"), F.col("total"), F.xxhash64(F.lit(seed), F.lit("slots")))
+    slots = slots.select("source_id", "blocks", (F.col("at") - F.col("low")).alias("nth"), place.alias("place"))
+    return slots.select(
         "source_id",
         "blocks",
-        "shard",
-        "own",
-        (F.col("place") - F.col("first_slot")).alias("shift"),
-        F.explode(
-            F.sequence(F.col("first_slot"), F.col("first_slot") + F.col("slots") - 1)
-        ).alias("nth"),
-    ).where(F.col("nth") < F.col("blocks") * cap)  # rounding may draw a slot beyond the cap
+        "nth",
+        F.floor(F.col("place") / shard_slots).cast("long").alias("shard"),
+        (F.col("place") % shard_slots).alias("slot"),
+    )
+
+
+def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+    """``(source_id, shard, slots)``: how many slots each shard has drawn from each source."""
+    drawn = drawn_slots(sources, shard_slots, seed)
+    return drawn.groupBy("source_id", "shard").agg(F.count(F.lit(1)).alias("slots"))
+
+
+def _slots(sources: DataFrame, shard_slots: int, cap: int, seed: int) -> DataFrame:
+    """``(source_id, block, shard, slot)``: the block in each slot."""
+    slots = drawn_slots(sources, shard_slots, seed).where(
+        F.col("nth") < F.col("blocks") * cap  # rounding may draw a slot beyond the cap
+    )
     key = F.xxhash64(F.lit(seed), "source_id", F.floor(F.col("nth") / F.col("blocks")))
     block = permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), key)
-    slot = permuted(F.col("nth") + F.col("shift"), F.col("own"), F.xxhash64(F.lit(seed), "shard"))
-    return slots.select("source_id", block.alias("block"), "shard", slot.alias("slot"))
+    return slots.select("source_id", block.alias("block"), "shard", "slot")

@@ -37,6 +37,17 @@ def test_permutation_is_one(spark):
         assert sorted(r.p for r in rows.collect()) == list(range(n))
 
 
+def test_compiled_permutation_is_the_same(spark):
+    sizes = (1, 2, 3, 5, 17, 100)
+    rows = spark.createDataFrame([(i, n) for n in sizes for i in range(n)], "i long, n long")
+    index, size, key = F.col("i"), F.col("n"), F.lit(-7).cast("long")
+    compiled = mixing.with_permuted(rows, "p", index, size, key)
+    assert compiled.columns == ["i", "n", "p"]
+    both = compiled.withColumn("q", mixing.permuted(index, size, key)).collect()
+    assert all(r.p == r.q for r in both)
+    assert sorted((r.n, r.p) for r in both) == [(n, i) for n in sizes for i in range(n)]
+
+
 def test_mix_comes_near_its_targets(documents):
     rows = corpus()
     result = mixing.mixed(documents(rows), block_words=16, shard_slots=256).collect()

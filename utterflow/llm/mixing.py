@@ -68,27 +68,54 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
     """A keyed permutation of 0 .. size - 1: Feistel steps on a grid, walking on if outside.
 
     The grid has ``a`` columns and ``b`` rows with a * b >= size and fewer than ``a`` cells over,
-    so almost every index is inside at once; the others walk along their cycle.
+    so almost every index is inside at once; the others walk along their cycle. For many rows,
+    ``with_permuted`` does the same.
     """
+    a, b = _grid(size)
+    return _inside(_step(index, a, b, key), size, a, b, key)
+
+
+def with_permuted(rows: DataFrame, name: str, index: Column, size: Column, key: Column) -> DataFrame:
+    """``rows`` with the column ``name``: ``permuted`` of their ``index``.
+
+    A column per half round, which Spark compiles, where the rounds of an aggregate over an array
+    are interpreted. Only the few indices that are outside at first walk on in that way.
+    """
+    own = ("__size", "__key", "__a", "__b", "__l", "__r", "__first")
+    size_, key_, a, b, left, right, first = map(F.col, own)
+    grid = rows.withColumns({"__size": size, "__key": key, "__first": index})
+    grid = grid.withColumn("__a", _grid(size_)[0]).withColumn("__b", F.ceil(size_ / a).cast("long"))
+    cells = grid.withColumns({"__l": F.pmod(first, a), "__r": F.floor(first / a).cast("long")})
+    for k in range(1, FEISTEL_ROUNDS + 1):
+        cells = cells.withColumn("__l", F.pmod(left + F.pmod(F.xxhash64(key_, F.lit(k), right), a), a))
+        cells = cells.withColumn("__r", F.pmod(right + F.pmod(F.xxhash64(key_, F.lit(-k), left), b), b))
+    placed = cells.withColumn("__first", left + a * right)
+    return placed.withColumn(name, _inside(first, size_, a, b, key_)).drop(*own)
+
+
+def _grid(size: Column) -> tuple[Column, Column]:
     a = F.greatest(F.ceil(F.sqrt(size.cast("double"))), F.lit(1)).cast("long")
-    b = F.ceil(size / a).cast("long")
+    return a, F.ceil(size / a).cast("long")
+
+
+def _step(x: Column, a: Column, b: Column, key: Column) -> Column:
+    state = F.struct(F.pmod(x, a).alias("l"), F.floor(x / a).cast("long").alias("r"))
+    rounds = F.sequence(F.lit(1), F.lit(FEISTEL_ROUNDS))
 
-    def step(x: Column) -> Column:
-        state = F.struct(F.pmod(x, a).alias("l"), F.floor(x / a).cast("long").alias("r"))
-        rounds = F.sequence(F.lit(1), F.lit(FEISTEL_ROUNDS))
+    def one(s: Column, k: Column) -> Column:
+        left = F.pmod(s["l"] + F.pmod(F.xxhash64(key, k, s["r"]), a), a)
+        right = F.pmod(s["r"] + F.pmod(F.xxhash64(key, -k, left), b), b)
+        return F.struct(left.alias("l"), right.alias("r"))
 
-        def one(s: Column, k: Column) -> Column:
-            left = F.pmod(s["l"] + F.pmod(F.xxhash64(key, k, s["r"]), a), a)
-            right = F.pmod(s["r"] + F.pmod(F.xxhash64(key, -k, left), b), b)
-            return F.struct(left.alias("l"), right.alias("r"))
+    return F.aggregate(rounds, state, one, lambda s: s["l"] + a * s["r"])
 
-        return F.aggregate(rounds, state, one, lambda s: s["l"] + a * s["r"])
 
-    first = step(index)
+def _inside(first: Column, size: Column, a: Column, b: Column, key: Column) -> Column:
+    """A cell of the grid, or the first one inside on its cycle."""
     walk = F.aggregate(
         F.sequence(F.lit(0).cast("long"), a * b - size),
         first,
-        lambda x, _: F.when(x < size, x).otherwise(step(x)),
+        lambda x, _: F.when(x < size, x).otherwise(_step(x, a, b, key)),
     )
     return F.when(first < size, first).otherwise(walk)
 
@@ -326,8 +353,9 @@ def drawn_slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     first = F.greatest("low", F.col("chunk") * size)
     last = F.least("high", (F.col("chunk") + 1) * size) - 1
     slots = rows.select("source_id", "blocks", "low", "total", F.explode(F.sequence(first, last)).alias("at"))
-    place = permuted(F.col("at"), F.col("total"), F.xxhash64(F.lit(seed), F.lit("slots")))
-    slots = slots.select("source_id", "blocks", (F.col("at") - F.col("low")).alias("nth"), place.alias("place"))
+    slots = with_permuted(
+        slots, "place", F.col("at"), F.col("total"), F.xxhash64(F.lit(seed), F.lit("slots"))
+    ).withColumn("nth", F.col("at") - F.col("low"))
     return slots.select(
         "source_id",
         "blocks",
@@ -349,5 +377,5 @@ def _slots(sources: DataFrame, shard_slots: int, cap: int, seed: int) -> DataFra
         F.col("nth") < F.col("blocks") * cap  # rounding may draw a slot beyond the cap
     )
     key = F.xxhash64(F.lit(seed), "source_id", F.floor(F.col("nth") / F.col("blocks")))
-    block = permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), key)
-    return slots.select("source_id", block.alias("block"), "shard", "slot")
+    slots = with_permuted(slots, "block", F.col("nth") % F.col("blocks"), F.col("blocks"), key)
+    return slots.select("source_id", "block", "shard", "slot")

@@ -179,3 +179,24 @@ def test_shard_counts_are_multinomial_draws_that_add_up(spark):
         assert 0.5 < sum((x - mean) ** 2 for x in own[:100]) / 99 / expected < 1.7
     slots = mixing.drawn_slots(sources, 100, 5).collect()
     assert len({(r.shard, r.slot) for r in slots}) == len(slots) == 10001
+
+
+def stored_plans(monkeypatch):
+    """Gets the optimized plan of every table that the mix stores, by its name."""
+    plans = {}
+
+    class Watched(mixing.Stored):
+        def __init__(self, table, name="step"):
+            plans[name] = table._jdf.queryExecution().optimizedPlan().toString()
+            super().__init__(table, name)
+
+    monkeypatch.setattr(mixing, "Stored", Watched)
+    return plans
+
+
+def test_joins_do_not_write_out_the_permutation_in_filters(documents, monkeypatch):
+    """The join by block asked for blocks that are not null, in terms of the slots: 2 ** 12 times as long."""
+    plans = stored_plans(monkeypatch)
+    plans["taken"] = mixing.mixed(documents(corpus(50)))._jdf.queryExecution().optimizedPlan().toString()
+    for name, plan in plans.items():
+        assert len(plan) < 100_000, (name, len(plan))

@@ -79,7 +79,9 @@ def with_permuted(rows: DataFrame, name: str, index: Column, size: Column, key:
     """``rows`` with the column ``name``: ``permuted`` of their ``index``.
 
     A column per half round, which Spark compiles, where the rounds of an aggregate over an array
-    are interpreted. Only the few indices that are outside at first walk on in that way.
+    are interpreted. Only the few indices that are outside at first walk on in that way. Store the
+    rows before they are joined or filtered by ``name``: a filter on it, also that of a join for
+    values that are not null, is written out in terms of ``index``, twice as long per half round.
     """
     own = ("__size", "__key", "__a", "__b", "__l", "__r", "__first")
     size_, key_, a, b, left, right, first = map(F.col, own)
@@ -191,9 +193,8 @@ class Mix:
         self.placed = _placed(sized, starts)
         # Spark takes tables that explode makes for as few as what they are made from: without the
         # hints it would broadcast them.
-        slots = _slots(sources, shard_slots, cap, seed).join(
-            _covers(starts, block_words).hint("merge"), ["source_id", "block"]
-        )
+        drawn = Stored(_slots(sources, shard_slots, cap, seed), "slots").table
+        slots = drawn.join(_covers(starts, block_words).hint("merge"), ["source_id", "block"])
         slots = slots.groupBy("source_key", "bucket", "block").agg(
             F.collect_list(F.struct("shard", "slot")).alias("slots"), F.first("shared").alias("shared")
         )

@@ -200,3 +200,11 @@ def test_joins_do_not_write_out_the_permutation_in_filters(documents, monkeypatc
     plans["taken"] = mixing.mixed(documents(corpus(50)))._jdf.queryExecution().optimizedPlan().toString()
     for name, plan in plans.items():
         assert len(plan) < 100_000, (name, len(plan))
+
+
+def test_no_filter_splits_the_texts_again(documents, monkeypatch):
+    """The join by bucket asked for buckets that are not null, which are hashes of the joined words."""
+    plans = stored_plans(monkeypatch)
+    mixing.mixed(documents(corpus(50)))
+    filters = [line for line in plans["blocks"].split("\n") if "Filter" in line]
+    assert filters and not [line for line in filters if "xxhash64" in line or "split" in line]

@@ -136,7 +136,8 @@ def sized_documents(docs: DataFrame) -> DataFrame:
     return texts.withColumn("digest", F.xxhash64("text")).withColumns(
         {
             "source_key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")),
-            "bucket": F.pmod(F.xxhash64("doc_id", "digest"), F.lit(BUCKETS)).cast("int"),
+            # Never null in Spark's eyes: else a join on it filters by it first, from the texts anew.
+            "bucket": F.coalesce(F.pmod(F.xxhash64("doc_id", "digest"), F.lit(BUCKETS)), F.lit(0)).cast("int"),
         }
     )
 
